@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gneiss.llm import bpe, jaccard, packing
+from gneiss.llm import bpe, flac, jaccard, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,15 +16,26 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_flac_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a FLAC stream and back: digests and features of what was read."""
+    return flac.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: five-word shingles, similarity 0.75."""
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, symbol and repetition counts of every document and whether it stays."""
+    judged = quality.judge(_table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_ngram_jaccard, op10_byte_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_flac_media, op3_ngram_jaccard, op7_line_cleaning, op10_byte_bpe)}
+ORACLES: dict[str, str] = {"op7_line_cleaning": quality.ORACLE}
