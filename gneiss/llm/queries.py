@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gneiss.llm import bpe, flac, jaccard, packing, quality
+from gneiss.llm import bpe, flac, jaccard, packing, pii, quality, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,16 +27,28 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op7_line_cleaning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, symbol and repetition counts of every document and whether it stays."""
     judged = quality.judge(_table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of base spans, and all spans, of every document."""
+    found = pii.find_spans(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base_spans", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("base_spans"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded bytes of every document."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_flac_media, op3_ngram_jaccard, op7_line_cleaning, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_flac_media, op3_ngram_jaccard, op5_url_boosting, op7_line_cleaning, op8_weak_pii, op10_byte_bpe)}
 ORACLES: dict[str, str] = {"op7_line_cleaning": quality.ORACLE}
