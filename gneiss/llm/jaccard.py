@@ -8,9 +8,9 @@ of passages that many documents share come last and their lists stay short.
 Index-level skipping: in a list, sorted by set size, entries whose sizes or prefix positions rule a
 link out are skipped by blocks.  Answer-level skipping: first each set is held against one leader of
 its list; sets that link are one component, and pairs inside a component are never looked at again.
-For the rest, the overlap of two members is bounded by the overlap of their leaders, computed once,
-and what each member has that its leader hasn't.  Only pairs that pass are held against each other
-shingle by shingle, after a comparison of small count sketches that bounds their overlap from above.
+The rest must pass a comparison of small count sketches, which bounds an overlap from above; then
+the overlap of two members is bounded by the overlap of their leaders, computed once, and what each
+member has that its leader hasn't.  Only pairs that pass are compared shingle by shingle.
 
 Defined results: null and empty texts have no shingles, link with nothing and are components of
 their own; equal doc_ids count as one document; an empty table gives no rows; columns other than the
@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 
 from gneiss.llm.components import connected_components
 from gneiss.llm.shingles import mix, shingle_sets
-from gneiss.llm.storage import bound_batches, materialize
+from gneiss.llm.storage import bound_batches, materialize, release
 
 #: A shingle is common if this many of the sampled documents have it.
-COMMON = 8
+COMMON = 4
 #: Documents in the sample that finds common shingles, about.
-SAMPLE = 20_000
-#: Bits of the filter that keeps texts without any candidate from being read into sets again.
+SAMPLE = 10_000
+#: Bits of the filters that keep texts and sets without any candidate out of a shuffle.
 FILTER_BITS = 1 << 24
 BLOCK = 512
 
@@ -133,27 +133,49 @@ def _lists(batches):
         yield rest
 
 
+def _meet(x, i, y, j, t100: int):
+    """Whether sets of sizes x and y can link if their first common shingles are at i and j."""
+    return (100 * np.minimum(x, y) >= t100 * np.maximum(x, y)) & (np.minimum(x - i, y - j) >= needed(x, y, t100))
+
+
 def _shared(batches, t100: int):
-    """Entries of lists of two sets at least, each with its leader: the first set that its size allows."""
+    """Entries that can link with another of their list, each with the first that it can link with.
+
+    Lists of up to BLOCK entries are decided pair by pair; in longer ones an entry stays if it could
+    link with one of the least size that it allows, and its leader is the first of that size or more.
+    """
     for token, fp, place in _lists(batches):
         new = np.ones(len(token), bool)
         new[1:] = (token[1:] != token[:-1]) | (fp[1:] != fp[:-1])  # sorted by token, place, fp: a set has one place in a list
         token, fp, place = token[new], fp[new], place[new]
-        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, np.int64)
-        long = np.flatnonzero(np.diff(edge) > 1)
-        if not len(long):
+        if not len(token):
             continue
-        pick = np.concatenate([np.arange(edge[k], edge[k + 1]) for k in long])
-        token, fp, place = token[pick], fp[pick], place[pick]
-        size = place >> 32
-        leader = np.empty_like(fp)
-        bounds = np.concatenate([[0], np.cumsum(np.diff(edge)[long])])
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            while a < b:
-                stop = a + int(np.searchsorted(size[a:b], size[a] * 100 // t100, side="right"))
-                leader[a:stop] = fp[a]
-                a = stop
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, fp, place, leader)], ["token", "fp", "place", "leader"])
+        size, at = place >> 32, place & 0xFFFFFFFF
+        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        count = np.diff(edge)
+        leader = fp.copy()
+        keep = np.zeros(len(fp), bool)
+        i = edge[:-1][count == 2]
+        i = i[_meet(size[i], at[i], size[i + 1], at[i + 1], t100)]
+        keep[i] = keep[i + 1] = True
+        leader[i + 1] = fp[i]
+        for k in np.flatnonzero(count > 2):
+            a, b = edge[k], edge[k + 1]
+            n, p = size[a:b], at[a:b]
+            if b - a <= BLOCK:
+                ok = _meet(n[:, None], p[:, None], n, p, t100)
+                np.fill_diagonal(ok, False)
+                keep[a:b] = ok.any(axis=0)
+                first = ok.argmax(axis=0)
+                leader[a:b] = np.where(ok[first, np.arange(b - a)], fp[a + first], fp[a:b])
+            else:
+                first = np.searchsorted(n, (t100 * n + 99) // 100)
+                least = np.minimum(np.where(first == np.arange(b - a), first + 1, first), b - a - 1)
+                keep[a:b] = (n - p >= needed(n, n[least], t100)) & (100 * n[least] <= 10000 * n // t100)
+                ok = _meet(n, p, n[first], p[first], t100)
+                leader[a:b] = np.where(ok, fp[a + first], fp[a:b])
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fp, place, leader)], ["token", "fp", "place", "leader"])
 
 
 def _sketch(tokens: np.ndarray) -> bytes:
@@ -172,59 +194,76 @@ def sketch_bound(a: bytes, b: bytes) -> int:
     return int(np.minimum(x, y).sum())
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """fp, tokens (8 bytes each, sorted) and sketch of the documents in ``wanted`` (doc_id, fp).
+def _slot(column: str):
+    return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("bigint")
+
+
+def _within(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``frame`` whose ``column`` may be among that of ``wanted``; none that is gets lost.
 
-    A filter of FILTER_BITS over the ids, whatever their number, keeps most other texts from being
-    turned into sets; the join settles the rest.
+    A filter of FILTER_BITS bits, whatever the number of keys; a join settles what passes.
     """
-    spark = docs.sparkSession
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).cast("bigint")
-    bits = wanted.select(F.bitmap_bucket_number(slot + 1).alias("k"), F.bitmap_bit_position(slot + 1).alias("bit")).groupBy("k").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    mask = np.zeros(FILTER_BITS, bool)
-    for k, part in bits.collect():  # 4096 bytes each, FILTER_BITS / 32768 rows at most
-        own = np.unpackbits(np.frombuffer(bytes(part), np.uint8), bitorder="little")
-        mask[(k - 1) * 32768 : (k - 1) * 32768 + len(own)] = own[: max(0, FILTER_BITS - (k - 1) * 32768)]
-    sent = spark.sparkContext.broadcast(np.packbits(mask, bitorder="little"))
+    slot = _slot(column) + 1
+    bits = wanted.select(F.bitmap_bucket_number(slot).alias("k"), F.bitmap_bit_position(slot).alias("bit")).groupBy("k").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    mask = np.zeros(FILTER_BITS // 8, np.uint8)
+    for k, part in bits.collect():  # FILTER_BITS / 32768 rows of 4096 bytes at most
+        mask[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(part), np.uint8)
+    sent = frame.sparkSession.sparkContext.broadcast(mask)
+    last = len(frame.columns)
 
     def run(batches):
         mask = sent.value
         for batch in batches:
-            slot = batch.column(2).to_numpy()
+            slot = batch.column(last).to_numpy()
             batch = batch.filter(pa.array(mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1))
-            if batch.num_rows:
-                flat, bounds = shingle_sets(batch.column(1), width)
-                own = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([_sketch(x) for x in own], pa.binary())], ["doc_id", "tokens", "sketch"])
+            yield batch.select(list(range(last)))
+
+    return frame.withColumn("__slot", _slot(column)).mapInArrow(run, frame.schema)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """fp, tokens (8 bytes each, sorted), n and sketch of the documents in ``wanted`` (doc_id, fp)."""
+
+    def run(batches):
+        for batch in batches:
+            flat, bounds = shingle_sets(batch.column(1), width)
+            own = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([len(x) for x in own], pa.int64()), pa.array([_sketch(x) for x in own], pa.binary())], ["doc_id", "tokens", "n", "sketch"])
+
+    sets = _within(docs, "doc_id", wanted).mapInArrow(run, "doc_id bigint, tokens binary, n bigint, sketch binary")
+    return sets.join(wanted, "doc_id").select("fp", "tokens", "n", "sketch").dropDuplicates(["fp"])
 
-    sets = docs.withColumn("slot", slot).mapInArrow(run, "doc_id bigint, tokens binary, sketch binary")
-    return sets.join(wanted, "doc_id").select("fp", "tokens", "sketch").dropDuplicates(["fp"])
 
+def _sides(pairs: DataFrame, sets: DataFrame, *names: str) -> DataFrame:
+    """a, b and the named columns of both sets."""
+    for k in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("fp").alias(k), *(F.col(x).alias(f"{x}_{k}") for x in names)), k)
+    return pairs.select("a", "b", *(f"{x}_{k}" for x in names for k in ("a", "b")))
 
-def _overlaps(pairs: DataFrame, sets: DataFrame, t100: int, prune: bool = True) -> DataFrame:
-    """a, b, na, nb, overlap of the pairs (a, b); without pairs that their sketches rule out, if ``prune``."""
-    small = sets.select("fp", "sketch", (F.length("tokens") / 8).cast("bigint").alias("n"))
-    side = lambda t, k, *c: t.select(F.col("fp").alias(k), *(F.col(x).alias(x + "_" + k) for x in c))
-    if prune:
-        joined = pairs.select("a", "b").join(side(small, "a", "sketch", "n"), "a").join(side(small, "b", "sketch", "n"), "b")
 
-        def bound(batches):
-            for batch in batches:
-                a, b, sa, na, sb, nb = (x.to_pylist() for x in batch.columns)
-                ok = [sketch_bound(x, y) >= needed(m, n, t100) for x, y, m, n in zip(sa, sb, na, nb, strict=True)]
-                yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+def _close(pairs: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
+    """The pairs (a, b) that their sketches don't rule out."""
 
-        pairs = materialize(joined.select("a", "b", "sketch_a", "n_a", "sketch_b", "n_b").mapInArrow(bound, "a bigint, b bigint"), "close")
-    joined = pairs.select("a", "b").join(side(sets, "a", "tokens"), "a").join(side(sets, "b", "tokens"), "b").select("a", "b", "tokens_a", "tokens_b")
+    def run(batches):
+        for batch in batches:
+            _, _, sa, sb, na, nb = (x.to_pylist() for x in batch.columns)
+            ok = [sketch_bound(x, y) >= needed(m, n, t100) for x, y, m, n in zip(sa, sb, na, nb, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    return materialize(_sides(pairs.select("a", "b"), sets, "sketch", "n").mapInArrow(run, "a bigint, b bigint"), "close")
 
-    def count(batches):
+
+def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, na, nb, overlap of the pairs (a, b), shingle by shingle."""
+
+    def run(batches):
         for batch in batches:
-            x = [np.frombuffer(t, np.uint64) for t in batch.column(2).to_pylist()]
-            y = [np.frombuffer(t, np.uint64) for t in batch.column(3).to_pylist()]
+            x, y = ([np.frombuffer(t, np.uint64) for t in batch.column(k).to_pylist()] for k in (2, 3))
             both = [len(np.intersect1d(m, n, assume_unique=True)) for m, n in zip(x, y, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in ([len(m) for m in x], [len(n) for n in y], both))], ["a", "b", "na", "nb", "overlap"])
 
-    return joined.mapInArrow(count, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
+    used = _within(sets.select("fp", "tokens"), "fp", pairs.select(F.explode(F.array("a", "b")).alias("fp")))
+    return _sides(pairs.select("a", "b"), used, "tokens").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
 
 
 def _linked(t100: int):
@@ -253,9 +292,7 @@ def _across(batches, t100: int):
                     if 100 * low[1] < t100 * high[0] or min(reach[i][2], reach[j][2]) < needed(reach[i][0], reach[j][0], t100):
                         continue
                     x, y = n[s:e, None], n[None, u:v]
-                    ok = group[s:e, None] != group[None, u:v]
-                    ok &= 100 * np.minimum(x, y) >= t100 * np.maximum(x, y)
-                    ok &= np.minimum(x - at[s:e, None], y - at[None, u:v]) >= needed(x, y, t100)
+                    ok = (group[s:e, None] != group[None, u:v]) & _meet(x, at[s:e, None], y, at[None, u:v], t100)
                     if i == j:
                         ok = np.triu(ok, 1)
                     p, q = np.nonzero(ok)
@@ -286,17 +323,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     common = _common(docs, keys.count(), width)
     index = _postings(docs, common, width, t100).repartition("token").sortWithinPartitions("token", "place", "fp")
     lists = materialize(index.mapInArrow(lambda batches: _shared(batches, t100), "token bigint, fp bigint, place bigint, leader bigint"), "lists")
+    release(spark)
     wanted = lists.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), "fp")
     sets = materialize(_sets(docs, materialize(wanted, "wanted"), width), "sets")
 
     stars = lists.where("fp <> leader").select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct()
-    first = materialize(_overlaps(stars, sets, t100).where(_linked(t100)), "first")
+    first = materialize(_exact(_close(stars, sets, t100), sets).where(_linked(t100)), "first")
     reached = materialize(connected_components(first), "reached")
+    release(spark)
 
     entries = lists.select("token", "fp", "place").join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("token", "place", "fp", F.coalesce("component", "fp").alias("component"))
     across = entries.repartition("token").sortWithinPartitions("token", "place", "fp").mapInArrow(lambda batches: _across(batches, t100), "a bigint, b bigint").distinct()
-    across = materialize(across, "across")
-    second = materialize(_overlaps(_derived(across, first, sets, t100), sets, t100).where(_linked(t100)), "second")
+    left = materialize(_derived(_close(across, sets, t100), first, sets, t100), "left")
+    second = materialize(_exact(left, sets).where(_linked(t100)), "second")
 
     links = first.unionByName(second)
     joined = connected_components(second.select(*(F.col(x) for x in "ab")).unionByName(first.select("a", "b")))
@@ -327,8 +366,8 @@ def _derived(pairs: DataFrame, first: DataFrame, sets: DataFrame, t100: int) ->
     known = pairs.join(name("a"), "a", "left").join(name("b"), "b", "left").select("a", "b", F.coalesce("leader_a", "a").alias("x"), F.coalesce("leader_b", "b").alias("y"), F.coalesce("lost_a", F.lit(0)).alias("lost_a"), F.coalesce("lost_b", F.lit(0)).alias("lost_b"))
     known = materialize(known, "known")
     led_pairs = known.where("(x <> a or y <> b) and x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    answers = _overlaps(led_pairs, sets, t100, prune=False).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
-    size = sets.select("fp", (F.length("tokens") / 8).cast("bigint").alias("n"))
+    answers = _exact(materialize(led_pairs, "led_pairs"), sets).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
+    size = sets.select("fp", "n")
     known = known.withColumn("u", F.least("x", "y")).withColumn("v", F.greatest("x", "y")).join(answers, ["u", "v"], "left")
     known = known.join(size.select(F.col("fp").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("fp").alias("b"), F.col("n").alias("nb")), "b")
     return known.where(F.expr(f"overlap is null or {100 + t100} * (overlap + lost_a + lost_b) >= {t100} * (na + nb)")).select("a", "b")

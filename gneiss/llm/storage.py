@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -47,6 +48,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver find the shuffles that no plan needs any more, so that executors drop their files."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Keep Arrow batches of whole texts small enough for a Python worker's memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
