@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.storage import materialize
+from gneiss.llm.storage import fence, materialize
 
 #: kind -> pattern, in the order of the contract, then those that the method adds.
 BASE = {
@@ -116,7 +116,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     marks = ", ".join(f"concat('{k}=', CAST({v} AS STRING))" for k, v in FEATURES.items())
     out = out.withColumn("__more", e(f"transform(__more, x -> struct(x.kind, x.start, x.stop, array({votes}) AS votes, array({marks}) AS marks))"))
     out = out.withColumn("__base", e("transform(__base, x -> struct(x.kind, x.start, x.stop))"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "__base", "__more")
+    return fence(out.select(*[F.col(f"`{c}`") for c in docs.columns], "__base", "__more"), ["__base", "__more"])
 
 
 def reliabilities(counts: dict[tuple[int, ...], int], rounds: int = 60) -> tuple[float, list[dict[int, tuple[float, float]]], dict[tuple[int, ...], float]]:

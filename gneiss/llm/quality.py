@@ -17,10 +17,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gneiss.llm.storage import fence
+
 KEEP = 60
 MIN_WORDS = 50
 MAX_REPEATED = 50
 
+_ADDED = ("clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 _WS = r"[\\x20\\x09-\\x0D]"
 _SYMBOL = "[#*$%&|<>]"
 #: Phrases of site boilerplate.
@@ -65,7 +68,8 @@ def judge(docs: DataFrame, keep: int = KEEP) -> DataFrame:
     )
     out = out.withColumn("base_failed", e(f"n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED} * n_words"))
     out = out.withColumn("kept", e(f"NOT base_failed AND 100 * __stay_chars >= {keep} * word_chars"))
-    return out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])
+    out = out.drop(*[c for c in out.columns if c.startswith("__") and c not in docs.columns])
+    return fence(out, [c for c in out.columns if c not in docs.columns or c in _ADDED])
 
 
 def clean(docs: DataFrame, keep: int = KEEP) -> DataFrame:

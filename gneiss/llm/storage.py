@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOTS: dict[str, str] = {}
 
@@ -48,6 +49,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fence(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with the named columns behind a generator of one row.
+
+    The optimizer moves no filter through it, so a filter on a computed column doesn't copy that column's
+    expressions, lambdas and all, into the filter.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    return df.select(*rest, F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in columns]))))
+
+
 def release(spark: SparkSession) -> None:
     """Let the driver find the shuffles that no plan needs any more, so that executors drop their files."""
     gc.collect()
