@@ -516,7 +516,7 @@ def features(samples: np.ndarray) -> str:
 
 def encode_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes and the stream of every text (media)."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, 512)
     docs = docs.select("doc_id", "text")
 
     def run(batches):
@@ -547,7 +547,7 @@ def decode_blocks(media: DataFrame, block: int = 4096) -> DataFrame:
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """encode_texts and decode in one pass, as digests of what was stored and of what was read back."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, 512)
     docs = docs.select("doc_id", "text")
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 

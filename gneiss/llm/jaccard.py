@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.llm.components import connected_components
-from gneiss.llm.shingles import mix, shingle_sets
+from gneiss.llm.shingles import mix, shingle_sets, texts
 from gneiss.llm.storage import bound_batches, materialize, release
 
 #: A shingle is common if this many of the sampled documents have it.
@@ -35,6 +35,8 @@ SAMPLE = 10_000
 #: Bits of the filters that keep texts and sets without any candidate out of a shuffle.
 FILTER_BITS = 1 << 24
 BLOCK = 512
+#: Rows of an Arrow batch; texts are cut into smaller parts by their bytes.
+ROWS = 2000
 
 
 def prefix_size(n: np.ndarray | int, t100: int):
@@ -51,18 +53,21 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
+def _fingerprints(flat: np.ndarray, bounds: np.ndarray, seed: int = 1) -> np.ndarray:
+    """A hash of each set."""
+    total = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(mix(flat + np.uint64(seed)), out=total[1:])
+    return mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64))
+
+
 def _sizes(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles and two hashes of the set."""
 
     def run(batches):
-        for batch in batches:
+        for batch in texts(batches):
             flat, bounds = shingle_sets(batch.column(1), width)
-            n = np.diff(bounds)
-            total = np.zeros((2, len(flat) + 1), np.uint64)
-            np.cumsum(mix(flat + np.uint64(1)), out=total[0, 1:])
-            np.cumsum(mix(flat + np.uint64(0x5BF03635)), out=total[1, 1:])
-            fp, check = (mix(x[bounds[1:]] - x[bounds[:-1]] + n.astype(np.uint64)) for x in total)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), _signed(fp), _signed(check)], ["doc_id", "n_shingles", "fp", "fp_check"])
+            fp, check = _fingerprints(flat, bounds), _fingerprints(flat, bounds, 0x5BF03635)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), _signed(fp), _signed(check)], ["doc_id", "n_shingles", "fp", "fp_check"])
 
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, fp bigint, fp_check bigint")
 
@@ -73,7 +78,7 @@ def _common(docs: DataFrame, rows: int, width: int) -> np.ndarray:
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def run(batches):
-        for batch in batches:
+        for batch in texts(batches):
             flat, _ = shingle_sets(batch.column(1), width)
             token, n = np.unique(flat, return_counts=True)
             yield pa.RecordBatch.from_arrays([_signed(token), pa.array(n)], ["token", "n"])
@@ -88,12 +93,9 @@ def _postings(docs: DataFrame, common: np.ndarray, width: int, t100: int) -> Dat
 
     def run(batches):
         common, seen = sent.value, set()
-        for batch in batches:
+        for batch in texts(batches):
             flat, bounds = shingle_sets(batch.column(1), width)
-            total = np.zeros(len(flat) + 1, np.uint64)
-            np.cumsum(mix(flat + np.uint64(1)), out=total[1:])
-            n = np.diff(bounds)
-            fps = mix(total[bounds[1:]] - total[bounds[:-1]] + n.astype(np.uint64))
+            n, fps = np.diff(bounds), _fingerprints(flat, bounds)
             late = np.zeros(len(flat), bool)
             if len(common):
                 late = common[np.minimum(np.searchsorted(common, flat), len(common) - 1)] == flat
@@ -198,44 +200,55 @@ def _slot(column: str):
     return F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)).cast("bigint")
 
 
-def _within(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``frame`` whose ``column`` may be among that of ``wanted``; none that is gets lost.
-
-    A filter of FILTER_BITS bits, whatever the number of keys; a join settles what passes.
-    """
+def _filter(wanted: DataFrame, column: str):
+    """A broadcast filter of FILTER_BITS bits, whatever the number of keys: none of ``wanted`` fails it."""
     slot = _slot(column) + 1
     bits = wanted.select(F.bitmap_bucket_number(slot).alias("k"), F.bitmap_bit_position(slot).alias("bit")).groupBy("k").agg(F.bitmap_construct_agg("bit").alias("bits"))
     mask = np.zeros(FILTER_BITS // 8, np.uint8)
     for k, part in bits.collect():  # FILTER_BITS / 32768 rows of 4096 bytes at most
         mask[(k - 1) * 4096 : k * 4096] = np.frombuffer(bytes(part), np.uint8)
-    sent = frame.sparkSession.sparkContext.broadcast(mask)
-    last = len(frame.columns)
+    return wanted.sparkSession.sparkContext.broadcast(mask)
+
+
+def _passes(mask: np.ndarray, slot: pa.Array) -> pa.Array:
+    slot = slot.to_numpy()
+    return pa.array(mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1)
+
+
+def _within(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """Rows of ``frame`` whose ``column`` may be among that of ``wanted``; none that is gets lost."""
+    sent, last = _filter(wanted, column), len(frame.columns)
 
     def run(batches):
-        mask = sent.value
         for batch in batches:
-            slot = batch.column(last).to_numpy()
-            batch = batch.filter(pa.array(mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1))
-            yield batch.select(list(range(last)))
+            yield batch.filter(_passes(sent.value, batch.column(last))).select(list(range(last)))
 
     return frame.withColumn("__slot", _slot(column)).mapInArrow(run, frame.schema)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """fp, tokens (8 bytes each, sorted), n and sketch of the documents in ``wanted`` (doc_id, fp)."""
+    """fp, tokens (8 bytes each, sorted), n and sketch of the documents in ``wanted`` (doc_id) and a few others.
+
+    Sets leave the task that reads their text for a file, not for a shuffle; an fp may come twice.
+    """
+    sent = _filter(wanted, "doc_id")
 
     def run(batches):
-        for batch in batches:
+        for batch in texts(batches):
+            batch = batch.filter(_passes(sent.value, batch.column(2)))
+            if not batch.num_rows:
+                continue
             flat, bounds = shingle_sets(batch.column(1), width)
             own = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([len(x) for x in own], pa.int64()), pa.array([_sketch(x) for x in own], pa.binary())], ["doc_id", "tokens", "n", "sketch"])
+            fps = _fingerprints(flat, bounds)
+            yield pa.RecordBatch.from_arrays([_signed(fps), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([len(x) for x in own], pa.int64()), pa.array([_sketch(x) for x in own], pa.binary())], ["fp", "tokens", "n", "sketch"])
 
-    sets = _within(docs, "doc_id", wanted).mapInArrow(run, "doc_id bigint, tokens binary, n bigint, sketch binary")
-    return sets.join(wanted, "doc_id").select("fp", "tokens", "n", "sketch").dropDuplicates(["fp"])
+    return docs.withColumn("__slot", _slot("doc_id")).mapInArrow(run, "fp bigint, tokens binary, n bigint, sketch binary")
 
 
 def _sides(pairs: DataFrame, sets: DataFrame, *names: str) -> DataFrame:
     """a, b and the named columns of both sets."""
+    sets = sets.select("fp", *names).dropDuplicates(["fp"])
     for k in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("fp").alias(k), *(F.col(x).alias(f"{x}_{k}") for x in names)), k)
     return pairs.select("a", "b", *(f"{x}_{k}" for x in names for k in ("a", "b")))
@@ -313,7 +326,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     the copies of the own set.
     """
     spark, t100 = docs.sparkSession, similarity
-    bound_batches(spark)
+    bound_batches(spark, ROWS)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = materialize(_sizes(docs, width), "keys")
     classes = materialize(
@@ -324,8 +337,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     index = _postings(docs, common, width, t100).repartition("token").sortWithinPartitions("token", "place", "fp")
     lists = materialize(index.mapInArrow(lambda batches: _shared(batches, t100), "token bigint, fp bigint, place bigint, leader bigint"), "lists")
     release(spark)
-    wanted = lists.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id"), "fp")
-    sets = materialize(_sets(docs, materialize(wanted, "wanted"), width), "sets")
+    wanted = materialize(lists.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")), "wanted")
+    sets = materialize(_sets(docs, wanted, width), "sets")
 
     stars = lists.where("fp <> leader").select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct()
     first = materialize(_exact(_close(stars, sets, t100), sets).where(_linked(t100)), "first")
@@ -367,7 +380,7 @@ def _derived(pairs: DataFrame, first: DataFrame, sets: DataFrame, t100: int) ->
     known = materialize(known, "known")
     led_pairs = known.where("(x <> a or y <> b) and x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     answers = _exact(materialize(led_pairs, "led_pairs"), sets).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
-    size = sets.select("fp", "n")
+    size = sets.select("fp", "n").distinct()
     known = known.withColumn("u", F.least("x", "y")).withColumn("v", F.greatest("x", "y")).join(answers, ["u", "v"], "left")
     known = known.join(size.select(F.col("fp").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("fp").alias("b"), F.col("n").alias("nb")), "b")
     return known.where(F.expr(f"overlap is null or {100 + t100} * (overlap + lost_a + lost_b) >= {t100} * (na + nb)")).select("a", "b")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.shingles import text_buffer
+from gneiss.llm.shingles import slices, text_buffer
 from gneiss.llm.storage import bound_batches
 
 SYMBOLS = 64
@@ -77,11 +77,15 @@ def learn(labelled: DataFrame, smooth: float = SMOOTH) -> Model:
     def run(batches):
         total: dict[str, np.ndarray] = {}
         for batch in batches:
-            lang = np.array(batch.column(1).to_pylist(), dtype=object)
-            row, cell = trigrams(batch.column(0))
-            for name in sorted(set(lang)):
-                own = np.bincount(cell[(lang == name)[row]], minlength=CELLS)
-                total[name] = total[name] + own if name in total else own
+            whole = np.array(batch.column(1).to_pylist(), dtype=object)
+            for start, part in slices(batch.column(0)):
+                lang = whole[start : start + len(part)]
+                row, cell = trigrams(part)
+                for name in sorted(set(lang)):
+                    held, n = np.unique(cell[(lang == name)[row]], return_counts=True)
+                    if name not in total:
+                        total[name] = np.zeros(CELLS, np.int64)
+                    total[name][held] += n
         for name, n in total.items():
             held = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(held), pa.string()), pa.array(held), pa.array(n[held])], ["lang", "cell", "n"])
@@ -164,7 +168,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         model = sent.value
         for batch in batches:
-            names, score, shares = infer(batch.column(at), model)
+            parts = [infer(part, model) for _, part in slices(batch.column(at))]
+            names = [n for p in parts for n in p[0]]
+            score, shares = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0) for k in (1, 2))
             mixed = [{n: float(x) for n, x in zip(model.languages, s, strict=True) if x > 0} for s in shares]
             columns = [c for k, c in enumerate(batch.columns) if k != at]
             kept = [c for k, c in enumerate(batch.schema.names) if k != at]

@@ -49,8 +49,12 @@ def load_encoder(path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    @lru_cache(maxsize=1)
+    def slow():
+        own = Tokenizer.from_file(path)
+        own.encode_special_tokens = True
+        return own
+
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     special = {x["content"] for x in spec.get("added_tokens", ()) if x.get("special")}
@@ -62,7 +66,7 @@ def load_encoder(path: str):
     def encode(text: str) -> np.ndarray:
         if text.isascii() or not _RARE.search(text):
             return fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
-        return np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        return np.array(slow().encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     return encode
 

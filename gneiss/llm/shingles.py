@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -56,6 +57,19 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(column: pa.Array, most: int = 1 << 20):
+    """(first row, rows) of consecutive parts of about ``most`` bytes, one row at least."""
+    size = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, n in enumerate(size):
+        if i > start and held + n > most:
+            yield start, column.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(column):
+        yield start, column.slice(start)
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (bytes) of all words; a word never crosses a row."""
     word = np.zeros(len(data) + 2, dtype=np.int8)
@@ -95,6 +109,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+def texts(batches, most: int = 4 << 20):
+    """Batches cut into parts whose second column, a text, has about ``most`` bytes, one row at least."""
+    for batch in batches:
+        for start, part in slices(batch.column(1), most):
+            yield batch.slice(start, len(part))
+
+
 def shingle_sets(column: pa.Array, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each row, one after the other, and the n+1 bounds of the rows.
 

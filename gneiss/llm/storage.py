@@ -65,9 +65,6 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Keep Arrow batches of whole texts small enough for a Python worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def bound_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Rows in an Arrow batch from now on: few where rows are whole texts, for a Python worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
