@@ -1,0 +1 @@
+"""A Spark-native engine for registries and profiles of document corpora."""

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from gneiss.plans import corpus, registry_queries
+
+QUERIES = {**corpus.LISTED.queries, **registry_queries.LISTED.queries}
+ORACLES = {**corpus.LISTED.oracles, **registry_queries.LISTED.oracles}

@@ -1,0 +1 @@
+"""Incremental forms of the registry's policies."""
