@@ -40,13 +40,13 @@ def folded(x: Column | str) -> Column:
 
 
 def instrument_id(jurisdiction, document_type, year, number, issuer=None) -> Column:
-    """JURISDICTION:TYPE:YEAR:NUMBER, and the issuer's token and hash where an issuer is given."""
-    parts = [token(jurisdiction), token(document_type), _c(year).cast("string"), token(number)]
+    """JURISDICTION:TYPE:YEAR:NUMBER, and ISSUER with the hash of the folded name where an issuer is given."""
+    parts = [token(jurisdiction), token(document_type), token(_c(year).cast("string")), token(number)]
     base = F.concat_ws(":", *parts)
     if issuer is None:
         return base
     name = clean(issuer)
-    suffix = F.concat_ws(":", token(name), F.sha2(folded(name), 256))
+    suffix = F.concat_ws(":", F.lit("ISSUER"), F.sha2(folded(name), 256))
     return F.when(F.coalesce(F.length(name), F.lit(0)) > 0, F.concat_ws(":", base, suffix)).otherwise(base)
 
 
@@ -188,11 +188,11 @@ def content_tags(text: Column | str, coverage: Column | str, chars: Column | str
 
 
 def human_bytes(x: Column | str) -> Column:
-    """1.50 MiB and the like."""
+    """1.50 MiB and the like, from B to TiB."""
     n = _c(x).cast("double")
-    out = F.format_string("%d B", _c(x).cast("bigint"))
+    out = F.format_string("%.2f B", F.bround(n, 2))
     for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
-        out = F.when(n >= 1024.0**k, F.format_string(f"%.2f {unit}", F.bround(n / 1024.0**k, 2))).otherwise(out)
+        out = F.when(F.abs(n) >= 1024.0**k, F.format_string(f"%.2f {unit}", F.bround(n / 1024.0**k, 2))).otherwise(out)
     return out
 
 

@@ -285,8 +285,7 @@ def link_extract(t):
 
 @query(r"""
 SELECT p_partkey, coalesce(nullif(trim(regexp_replace(upper(trim(p_type)), '[^A-Z0-9]+', '_', 'g'), '_'), ''), 'UNKNOWN') AS token,
-  'ID:' || coalesce(nullif(trim(regexp_replace(upper(trim(p_type)), '[^A-Z0-9]+', '_', 'g'), '_'), ''), 'UNKNOWN') || ':' || (1990 + p_partkey % 30) || ':' || p_partkey || ':' ||
-  coalesce(nullif(trim(regexp_replace(upper(trim(p_brand)), '[^A-Z0-9]+', '_', 'g'), '_'), ''), 'UNKNOWN') || ':' || sha256(lower(trim(regexp_replace(p_brand, '\s+', ' ', 'g')))) AS id FROM part""")
+  'ID:' || coalesce(nullif(trim(regexp_replace(upper(trim(p_type)), '[^A-Z0-9]+', '_', 'g'), '_'), ''), 'UNKNOWN') || ':' || (1990 + p_partkey % 30) || ':' || p_partkey || ':ISSUER:' || sha256(lower(trim(regexp_replace(p_brand, '\s+', ' ', 'g')))) AS id FROM part""")
 def identity_token(t):
     """Identity tokens and instrument ids of parts."""
     rows = t("part").withColumn("y", (1990 + F.col("p_partkey") % 30).cast("int"))
@@ -322,7 +321,7 @@ def separated_numbers(t):
 
 @query("""
 SELECT p_partkey, p_name AS name, CASE WHEN p_partkey % 2 = 0 THEN 'ABCDEF' END AS subset,
-  CASE WHEN p_partkey < 1024 THEN p_partkey || ' B' ELSE printf('%.2f KiB', p_partkey / 1024.0) END AS size FROM part""")
+  CASE WHEN p_partkey < 1024 THEN printf('%.2f B', CAST(p_partkey AS DOUBLE)) ELSE printf('%.2f KiB', p_partkey / 1024.0) END AS size FROM part""")
 def font_names(t):
     """Font names with and without a subset tag, and sizes for people."""
     raw = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("/ABCDEF+"), F.col("p_name"))).otherwise(F.concat(F.lit("/"), F.col("p_name")))
