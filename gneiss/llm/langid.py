@@ -158,8 +158,9 @@ def infer(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.nda
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred, score and shares (language -> proportion of the chosen set)."""
+    """``docs`` with lang_pred, score and shares (language -> proportion of the chosen set); columns of these names go."""
     bound_batches(docs.sparkSession)
+    docs = docs.drop("lang_pred", "score", "shares")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     # working names that no column of the table has
     out = docs.withColumn("__text", F.col("text").cast("string"))

@@ -14,7 +14,7 @@ patterns are the contract's, written so that a run of characters is scanned once
 begin where its run begins or where the last match ended.
 
 Defined results: null texts are empty and have no spans; equal rows give equal rows; an empty table
-gives no rows and no classifier is needed; other columns don't matter.
+gives no rows and no classifier is needed; ``redact`` keeps all columns, other columns don't matter.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.storage import fence, materialize
+from gneiss.llm.storage import fence, materialize, shielded
 
 #: kind -> pattern, in the order of the contract, then those that the method adds.
 BASE = {
@@ -110,7 +110,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     out = out.withColumns(spans)
     out = out.withColumn("__base", e("concat(" + ", ".join(f"__x_{k}" for k in BASE) + ")"))
     loose = "concat(" + ", ".join(f"__x_{k}" for k in ADDED) + ")"
-    out = out.withColumn("__more", e(f"filter({loose}, x -> NOT exists(__base, b -> b.start < x.stop AND x.start < b.stop))"))
+    out = out.withColumn("__more", e(f"filter({loose}, x -> NOT exists(__base, b -> b.start < x.stop AND x.start < b.stop AND NOT (x.kind = 'secret' AND x.start <= b.start AND b.stop <= x.stop AND x.stop - x.start > b.stop - b.start)))"))
     out = out.withColumn("__more", e(f"transform(__more, x -> struct(x.kind, x.start, x.stop, x.m, substring(__text, greatest(1, x.start + 1 - {CONTEXT}), least(x.start, {CONTEXT})) AS l, substring(__text, x.stop + 1, {CONTEXT}) AS r))"))
     votes = ", ".join(f"CAST({v} AS INT)" for v in LABELERS.values())
     marks = ", ".join(f"concat('{k}=', CAST({v} AS STRING))" for k, v in FEATURES.items())
@@ -207,12 +207,13 @@ def find_spans(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of a text replaced by its kind in angle brackets; n_chars follows."""
     weights = fit(materialize(candidates(docs.select("text")).drop("text"), "spans"))
-    out = decide(candidates(docs), weights)
-    # overlapping spans are one cut, named after the first
-    out = out.withColumn("__cuts", F.expr("aggregate(spans, CAST(array() AS ARRAY<STRUCT<kind: STRING, start: INT, stop: INT>>), (a, x) -> CASE WHEN size(a) > 0 AND element_at(a, -1).stop > x.start THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).kind AS kind, element_at(a, -1).start AS start, greatest(element_at(a, -1).stop, x.stop) AS stop))) ELSE array_append(a, x) END)"))
-    text = "CASE WHEN size(__cuts) = 0 THEN text ELSE concat(aggregate(__cuts, struct('' AS t, 0 AS p), (a, x) -> struct(concat(a.t, substring(text, a.p + 1, x.start - a.p), '<', x.kind, '>') AS t, x.stop AS p)).t, substring(text, element_at(__cuts, -1).stop + 1)) END"
-    changed = {"text": F.expr(text)}
-    out = out.withColumns(changed)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("bigint"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def work(own: DataFrame) -> DataFrame:
+        out = decide(candidates(own), weights)
+        # overlapping spans are one cut, named after the first
+        out = out.withColumn("__cuts", F.expr("aggregate(spans, CAST(array() AS ARRAY<STRUCT<kind: STRING, start: INT, stop: INT>>), (a, x) -> CASE WHEN size(a) > 0 AND element_at(a, -1).stop > x.start THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).kind AS kind, element_at(a, -1).start AS start, greatest(element_at(a, -1).stop, x.stop) AS stop))) ELSE array_append(a, x) END)"))
+        text = "CASE WHEN size(__cuts) = 0 THEN text ELSE concat(aggregate(__cuts, struct('' AS t, 0 AS p), (a, x) -> struct(concat(a.t, substring(text, a.p + 1, x.start - a.p), '<', x.kind, '>') AS t, x.stop AS p)).t, substring(text, element_at(__cuts, -1).stop + 1)) END"
+        out = out.withColumn("text", F.expr(text))
+        return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in own.columns else out
+
+    return shielded(docs, ("text", "n_chars"), work)

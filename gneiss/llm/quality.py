@@ -9,7 +9,7 @@ throughout; a short line that ends without punctuation (navigation); a short lin
 boilerplate; a long line without any punctuation.
 
 Defined results: null texts have no words and fail; an empty table gives no rows; equal rows give
-equal rows; other columns are kept under their names, and working columns start with two underscores.
+equal rows; ``judge`` replaces columns that have the names of its results, ``clean`` keeps all columns.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.storage import fence
+from gneiss.llm.storage import fence, shielded
 
 KEEP = 60
 MIN_WORDS = 50
@@ -74,9 +74,12 @@ def judge(docs: DataFrame, keep: int = KEEP) -> DataFrame:
 
 def clean(docs: DataFrame, keep: int = KEEP) -> DataFrame:
     """The documents that stay, with the lines that stay; the columns are those of ``docs``."""
-    judged = judge(docs, keep).where("kept")
-    changed = {"text": F.col("clean_text")} | ({"n_chars": F.length("clean_text").cast("bigint")} if "n_chars" in docs.columns else {})
-    return judged.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def work(own: DataFrame) -> DataFrame:
+        changed = {"text": F.col("clean_text")} | ({"n_chars": F.length("clean_text").cast("bigint")} if "n_chars" in own.columns else {})
+        return judge(own, keep).where("kept").withColumns(changed)
+
+    return shielded(docs, ("text", "n_chars"), work)
 
 
 _DUCK_FAILS = r"""(

@@ -49,6 +49,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def shielded(docs: DataFrame, used: tuple[str, ...], work) -> DataFrame:
+    """``work(docs)``, which keeps its columns, with all columns but the used ones under names that clash with none."""
+    names = docs.columns
+    away = [c if c in used else f"__own{k}" for k, c in enumerate(names)]
+    return work(docs.toDF(*away)).select(*[F.col(a).alias(c) for a, c in zip(away, names, strict=True)])
+
+
 def fence(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` with the named columns behind a generator of one row.
 

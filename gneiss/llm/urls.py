@@ -65,7 +65,7 @@ FEATURES: dict[str, tuple[str, list[float]]] = {
     "depth": ("length(path) - length(replace(path, '/', ''))", [0, 1, 2, 3, 4, 6, 9]),
     "digits": ("length(regexp_replace(__url, '[^0-9]', '')) / greatest(length(__url), 1)", [0.0, 0.02, 0.05, 0.08, 0.12, 0.2, 0.35]),
     "entropy": (_entropy("__lower"), [2.5, 3.0, 3.25, 3.5, 3.75, 4.0, 4.25, 4.5, 4.75]),
-    "parameters": ("IF(contains(__url, '?'), 1 + length(__url) - length(replace(__url, '&', '')), 0)", [0, 1, 2, 3, 5]),
+    "parameters": ("IF(contains(__url, '?'), 1 + length(__url) - length(replace(__url, '&', '')), 0)", [0, 1, 2, 3, 4, 5, 8]),
     "labels": ("length(host) - length(replace(host, '.', ''))", [0, 1, 2, 3, 4]),
     "hyphens": ("length(host) - length(replace(host, '-', ''))", [0, 1, 2]),
     "host_length": ("length(host)", [8, 14, 16, 18, 20, 22, 24, 28, 36]),

@@ -1,0 +1,114 @@
+"""Personal data spans against the contract's patterns, and URL verdicts against plain rules."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from gneiss.llm import pii, urls
+
+
+def luhn(s):
+    d = [int(c) for c in s if c.isdigit()][::-1]
+    return sum(x if i % 2 == 0 else (2 * x - 9 if 2 * x > 9 else 2 * x) for i, x in enumerate(d)) % 10 == 0
+
+
+def brute(t):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m.group().split("."))]
+    out += [("card", *m.span()) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 12 <= sum(c.isdigit() for c in m.group()) <= 19 and luhn(m.group())]
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= sum(c.isdigit() for c in m.group()) <= 15]
+    out.sort(key=lambda x: (x[1], pii.KINDS.index(x[0])))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in out)
+
+
+def texts():
+    r = random.Random(7)
+    parts = ["a", "b.c", "@", ".", "-", "+", "1", "22", "255", "256", "001", " ", "é", "😀", "(", ")", "4111111111111111", "+1 (319) 555-5132", "x@y.z", "9.9.9.9", "\n", "%"]
+    out = ["".join(r.choice(parts) for _ in range(r.randint(0, 60))) for _ in range(400)]
+    return out + ["a@b.com@c.de x", "1.2.3.4.5.6.7.8 999.1.1.1 001.2.3.255", "é4@x.y z@a.b.", "", "a" * 3000 + "@b.c " + "1 " * 6000, "x@@y.z", "1" * 5000, "+" * 3000 + "1"]
+
+
+def test_base_spans(spark):
+    rows = [*enumerate(texts()), (10**6, None)]
+    found = pii.find_spans(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, spans int"))
+    got = {r.doc_id: r for r in found.select("doc_id", pii.joined("base_spans").alias("base"), pii.joined("spans").alias("spans")).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        want = brute(t or "")
+        assert got[i].base == want, (t, got[i].base, want)
+        assert set(want.split(",")) <= set(got[i].spans.split(",")) or not want
+
+
+def test_added_spans(spark):
+    clean = [f"plain words only number {k} and version {k}.{k + 1} on page {k}" for k in range(40)]
+    held = [f'token = "{k:040x}" and so on' for k in range(10**30, 10**30 + 20)] + [f"password={k:018x} end" for k in range(10**18, 10**18 + 20)]
+    df = spark.createDataFrame([*enumerate(clean + held)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.find_spans(df).select("doc_id", pii.joined("spans").alias("spans")).collect()}
+    assert all(not got[k] for k in range(40)) and all("secret" in got[k] for k in range(40, 80))
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame([(1, "mail é a@b.co or 10.0.0.1, ok", 9), (2, None, 9), (3, "no data", 9), (4, "+49 30 123456789 4111111111111111", 9)], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: r for r in pii.redact(df).collect()}
+    assert got[1].text == "mail é <email> or <ip>, ok" and got[1].n_chars == len(got[1].text)
+    assert got[2].text is None and got[3].text == "no data" and "4111" not in got[4].text
+    assert pii.redact(df).columns == df.columns and pii.redact(df.limit(0)).count() == 0
+
+
+def test_reliabilities():
+    """A labeler that agrees with the others on planted truth gets better rates than one that guesses."""
+    r = random.Random(3)
+    counts = {}
+    for _ in range(4000):
+        truth = r.random() < 0.4
+        vote = tuple((1 if truth == (r.random() < p) else -1) for p in (0.95, 0.9, 0.85, 0.5, 0.8))
+        counts[vote] = counts.get(vote, 0) + 1
+    prior, tables, p = pii.reliabilities(counts)
+    assert abs(prior - 0.4) < 0.05
+    assert tables[0][1][1] > 0.9 and abs(tables[3][1][1] - 0.5) < 0.1
+
+
+def test_native(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    plan = pii.candidates(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_rule(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(c.lower() if c.isascii() else c for c in host)
+    fits = [r for _, r in urls.RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith("/" + r.split("/", 1)[1])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_rules(spark, data):
+    odd = [None, "", "foo", "http://", "HTTP://A.NET", "http://a.net?x/", "http://A.NET/x", "https://x.example.NET/en/1", "https://example.net/enx", "http://xexample.com/de/1", "http://b.example.com/de/1#a", "http://x.org/fr/", "http://net/", "a://b://c.net/", "x://É.NET/a\nb?c"]
+    pages = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url").unionByName(spark.createDataFrame([(10**6 + k, u) for k, u in enumerate(odd)], "page_id long, url string"))
+    got = urls.judge(pages.withColumn("__bins", F.lit(1)).drop("__bins")).collect()
+    said = {name: verdict for verdict, name in urls.RULES}
+    for r in got:
+        assert (r.host, r.path, r.rule) == plain_rule(r.url)
+        assert r.verdict == said[r.rule] if r.rule else r.verdict in ("block", "allow")
+    labelled = [r for r in got if r.rule]
+    assert sum((r.score >= 0.5) == (r.verdict == "block") for r in labelled) >= 0.95 * len(labelled)
+
+
+def test_no_labels(spark):
+    df = spark.createDataFrame([(1, "http://x.info/a")], "page_id long, url string")
+    assert [r.verdict for r in urls.judge(df).collect()] == ["allow"]
+    assert urls.judge(df.limit(0)).count() == 0
+
+
+def test_boosting_follows_features(spark):
+    rows = [(k, f"http://h{k}.info/{'p' * (k % 40)}?{'a=1&' * (k % 7)}") for k in range(300)]
+    df = urls.apply_rules(spark.createDataFrame(rows, "page_id long, url string")).withColumn("ruled", F.when(F.col("page_id") % 7 >= 4, "block").otherwise("allow"))
+    model = urls.train(df)
+    scored = urls._bins(df, model.rates, model.rate).withColumn("s", urls.margin(model) >= 0)
+    assert scored.where((F.col("s")) == (F.col("page_id") % 7 >= 4)).count() >= 297
