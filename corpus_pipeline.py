@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.llm import jaccard, langid, packing, pii, quality
-from gneiss.llm.storage import materialize
+from gneiss.llm.storage import materialize, shielded
 
 #: Documents whose language is less sure than this go.
 LEAST_SCORE = 0.5
@@ -20,9 +20,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, or of no sure language, go; lang becomes the identified language."""
     model = langid.learn(docs.where(~langid.held_out(docs)).select("text", "lang"))
-    found = langid.identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
-    changed = found.withColumn("lang", F.col("lang_pred")) if "lang" in docs.columns else found
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def work(own: DataFrame) -> DataFrame:
+        found = langid.identify(own, model)
+        return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).withColumn("lang", F.col("lang_pred"))
+
+    return shielded(docs, ("doc_id", "text", "lang"), work)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
