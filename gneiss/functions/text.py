@@ -150,7 +150,7 @@ def jurisdiction(location: Column | str) -> Column:
 
 def font_name(x: Column | str) -> Column:
     """name and subset tag of a font's base name (/ABCDEF+Name)."""
-    bare = F.regexp_replace(_c(x), "^/+", "")
+    bare = F.nullif(F.trim(F.regexp_replace(_c(x), "^/+", "")), F.lit(""))
     tag = F.nullif(F.regexp_extract(bare, r"^([A-Z]{6})\+(.*)$", 1), F.lit(""))
     name = F.when(tag.isNull(), bare).otherwise(F.regexp_extract(bare, r"^([A-Z]{6})\+(.*)$", 2))
     return F.struct(name.alias("name"), tag.alias("subset"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gneiss.functions import values as V
 from gneiss.operators.merge import pending
+from gneiss.operators.profile import distribution
 
 METHODS = ("gzip9", "zstd3", "zstd9", "zstd19", "lzma2")
 CHUNK = 1 << 20
@@ -140,6 +141,19 @@ def benchmark_shards(members: DataFrame, key: str, content: str, methods=METHODS
     return _with_rates(made).withColumns({"mode": F.lit("shard"), "independent_access": F.lit(False)})
 
 
+def stream_trials(streams: DataFrame, codec: str, key: str, content: str, method: str = "zstd9") -> DataFrame:
+    """Wrapping of sampled streams by another codec: what each gains, and whether it comes back whole."""
+    made = benchmark_documents(streams, key, content, (method,))
+    named = streams.select(F.concat(F.lit("doc:"), F.col(key).cast("string")).alias("unit_id"), codec, F.col(key).cast("string").alias("key"))
+    return made.join(named, "unit_id")
+
+
+def saving_distribution(rows: DataFrame, *by: str) -> DataFrame:
+    """Distribution of the saving of single exact units."""
+    good = rows.where((F.col("status") == "ok") & F.coalesce(F.col("exact"), F.lit(False)))
+    return good.withColumn("unit_saving", V.saving("input_bytes", "output_bytes")).groupBy(*by).agg(*distribution("unit_saving"))
+
+
 def rollup(rows: DataFrame, *by: str) -> DataFrame:
     """Byte-weighted results: units and statuses of all rows, bytes, times and saving of exact ones."""
     good = (F.col("status") == "ok") & F.coalesce(F.col("exact"), F.lit(False))
@@ -153,6 +167,7 @@ def rollup(rows: DataFrame, *by: str) -> DataFrame:
         F.coalesce(total("manifest_bytes"), F.lit(0)).cast("bigint").alias("manifest_bytes"),
         total("encode_seconds").alias("encode_seconds"),
         total("decode_seconds").alias("decode_seconds"),
+        (F.max("peak_rss_bytes") if "peak_rss_bytes" in rows.columns else F.lit(None).cast("bigint")).alias("peak_rss_bytes"),
         F.array_sort(F.collect_list(F.when(~good, F.struct("unit_id", "status")))).alias("failures"),
     )
     out = out.withColumns({"saving": V.saving("input_bytes", "output_bytes"), "encode_mib_s": V.throughput("input_bytes", "encode_seconds"), "decode_mib_s": V.throughput("input_bytes", "decode_seconds")})

@@ -150,3 +150,23 @@ def isolate(df: DataFrame, work, schema: str, key: str) -> DataFrame:
             yield pa.RecordBatch.from_pylist(out, arrow)
 
     return df.mapInArrow(run, whole)
+
+
+def usage_counts(images: DataFrame, trials: DataFrame) -> DataFrame:
+    """One row: images, those with a known placement and those that fill a page, and how many streams were tried."""
+    seen = images.agg(F.count("*").alias("images"), F.count_if(F.size("page_numbers") > 0).alias("placed"), F.count_if(F.col("fullscan")).alias("fullscan"), F.count_if(F.col("usage") == "ambiguous").alias("ambiguous"))
+    tried = trials.agg(F.count("*").alias("trials"), F.count_if(F.col("exact")).alias("exact_trials"))
+    return seen.join(tried)
+
+
+def fidelity_sample(sample: DataFrame, files: DataFrame, pages: DataFrame, texts: DataFrame) -> DataFrame:
+    """First, middle and last pages of sampled files with their text, tags and whether sorting changes the text.
+
+    ``sample`` has sha256 and stratum, ``texts`` sha256, page_number, text and sorted_text.
+    """
+    from gneiss.functions import text as T
+
+    chosen = files.join(sample, "sha256").select("sha256", "stratum", F.col("sources")[0]["title"].alias("title"), F.col("sources")[0]["detail_url"].alias("source_url"), F.explode(V.first_middle_last("page_count")).alias("page_number"))
+    facts = pages.select("sha256", "page_number", "class_name", "image_coverage", "text_chars")
+    rows = chosen.join(facts, ["sha256", "page_number"]).join(texts, ["sha256", "page_number"], "left")
+    return rows.withColumns({"sort_changes_sequence": F.coalesce(F.col("text") != F.col("sorted_text"), F.lit(False)), "tags": T.content_tags(F.coalesce("text", F.lit("")), "image_coverage", "text_chars"), "review_status": F.lit("not_visually_reviewed")})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gneiss.functions import values as V
 from gneiss.sources.sinks import reference_lines
 
 
@@ -28,7 +29,7 @@ def later_occurrences(objects: DataFrame, category: str, digest: str, *order: st
 
 
 def duplicate_summary(objects: DataFrame) -> DataFrame:
-    """By category: repeated groups, occurrences, intra, cross and gross bytes, bytes of reference lines, capacity.
+    """By category: repeated groups, occurrences beyond the first, intra, cross and gross bytes, bytes of reference lines, capacity.
 
     ``objects`` has category, encoded_sha256, bytes, document_sha256 and xref; empty streams don't count.
     """
@@ -36,7 +37,7 @@ def duplicate_summary(objects: DataFrame) -> DataFrame:
     groups = real.groupBy("category", "encoded_sha256").agg(F.max("bytes").alias("size"), F.count("*").alias("refs"), F.count_distinct("document_sha256").alias("files")).where("refs > 1")
     sums = groups.groupBy("category").agg(
         F.count("*").alias("groups"),
-        F.sum("refs").cast("bigint").alias("occurrences"),
+        F.sum(F.col("refs") - 1).cast("bigint").alias("occurrences"),
         F.sum(F.col("size") * (F.col("refs") - F.col("files"))).cast("bigint").alias("intra"),
         F.sum(F.col("size") * (F.col("files") - 1)).cast("bigint").alias("cross"),
     )
@@ -64,8 +65,8 @@ def top_names(df: DataFrame, digest: str, size: str, name: str, top: int = 10, n
 
 
 def first_of_each(df: DataFrame, group: str, digest: str, size: str, order: list[str], most: int, k: int = 3) -> DataFrame:
-    """The first ``k`` distinct digests of each group whose size is at most ``most``."""
-    small = df.where(F.col(size) <= most)
+    """The first ``k`` distinct digests of each group whose size is from 1 to ``most``."""
+    small = df.where(F.col(size).between(1, most))
     one = small.withColumn("__d", F.row_number().over(Window.partitionBy(group, digest).orderBy(*order))).where("__d = 1")
     return one.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k).drop("__d")
 
@@ -77,3 +78,19 @@ def pairs_of_largest(df: DataFrame, group: str, digest: str, size: str, top: int
     two = one.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(digest))).where("rank <= 2")
     pairs = two.groupBy(group, "total").agg(F.max(F.when(F.col("rank") == 1, F.col(digest))).alias("first"), F.max(F.when(F.col("rank") == 2, F.col(digest))).alias("second"), F.max("size").alias("largest"))
     return pairs.where(F.col("second").isNotNull() & (F.col("largest") <= most))
+
+
+def font_similarity(fonts: DataFrame, name: str, digest: str, size: str, content: str, top: int = 10, most: int = 1 << 20) -> DataFrame:
+    """Chunk similarity and size ratio of the first two payloads of names that stand for several payloads, largest names first.
+
+    ``fonts`` has the payloads themselves (content); only those of the chosen pairs are read into chunks.
+    """
+    several = fonts.where(F.col(digest).isNotNull() & F.col(name).isNotNull())
+    names = ambiguous_names(several, name, digest).select(name)
+    pairs = pairs_of_largest(several.join(names, name, "left_semi"), name, digest, size, top, most)
+    payload = several.groupBy(digest).agg(F.first(content).alias("content"))
+    first = payload.select(F.col(digest).alias("first"), F.col("content").alias("a"))
+    second = payload.select(F.col(digest).alias("second"), F.col("content").alias("b"))
+    both = pairs.join(first, "first").join(second, "second")
+    lengths = F.octet_length("a"), F.octet_length("b")
+    return both.select(name, "first", "second", V.ratio(F.least(*lengths), F.greatest(*lengths)).alias("size_ratio"), V.jaccard(V.chunk_hashes("a"), V.chunk_hashes("b")).alias("chunk_jaccard"))

@@ -41,7 +41,7 @@ def redundancy_by_category(t):
 @query(f"""
 WITH o AS (SELECT * FROM {_OBJECTS} WHERE bytes > 0),
 g AS (SELECT category, encoded_sha256, max(bytes) AS size, count(*) AS refs, count(DISTINCT document_sha256) AS files FROM o GROUP BY ALL HAVING count(*) > 1),
-s AS (SELECT category, count(*) AS groups, CAST(sum(refs) AS BIGINT) AS occurrences, CAST(sum(size * (refs - files)) AS BIGINT) AS "intra", CAST(sum(size * (files - 1)) AS BIGINT) AS "cross" FROM g GROUP BY category),
+s AS (SELECT category, count(*) AS groups, CAST(sum(refs - 1) AS BIGINT) AS occurrences, CAST(sum(size * (refs - files)) AS BIGINT) AS "intra", CAST(sum(size * (files - 1)) AS BIGINT) AS "cross" FROM g GROUP BY category),
 l AS (SELECT category, row_number() OVER (PARTITION BY category, encoded_sha256 ORDER BY document_sha256, xref) AS n,
   strlen('{{"bytes":' || bytes || ',"document_sha256":"' || document_sha256 || '","encoded_sha256":"' || encoded_sha256 || '","xref":' || xref || '}}') + 1 AS line_bytes FROM o),
 r AS (SELECT category, CAST(sum(line_bytes) AS BIGINT) AS reference_bytes FROM l WHERE n > 1 GROUP BY category)
@@ -501,6 +501,26 @@ def receipt_validation(t):
     return problems.groupBy(kind.alias("problem")).agg(F.count("*").alias("n"))
 
 
+@query("""
+SELECT p_brand AS name, p_brand || '/a' AS first, p_brand || '/b' AS second, round(CAST(8 AS DOUBLE) / 9, 6) AS size_ratio, CAST(0.8 AS DOUBLE) AS chunk_jaccard
+FROM (SELECT p_brand, sum(9) + sum(8) AS total FROM part WHERE p_partkey <= 40 GROUP BY p_brand ORDER BY total DESC, p_brand LIMIT 10)""")
+def font_similarity(t):
+    """Payloads of one name that share most of their chunks."""
+    rows = t("part").where("p_partkey <= 40").select(F.col("p_brand").alias("name"))
+    part = lambda n: F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.rpad(F.concat(F.col("name"), F.least(i, F.lit(5)).cast("string")), 1024, ".")), "").cast("binary")
+    a = rows.select("name", F.concat("name", F.lit("/a")).alias("digest"), F.lit(9).alias("size"), part(9).alias("content"))
+    b = rows.select("name", F.concat("name", F.lit("/b")).alias("digest"), F.lit(8).alias("size"), F.substring(part(9), 1025, 8 * 1024).alias("content"))
+    return _rounded(redundancy.font_similarity(a.unionByName(b), "name", "digest", "size", "content"))
+
+
+@query()
+def stream_trials(t):
+    """The first three texts of each language, wrapped by zstd and back."""
+    docs = t("documents").select("lang", "source", "doc_id", F.sha2("text", 256).alias("digest"), F.octet_length("text").alias("size"), F.col("text").cast("binary").alias("content"))
+    chosen = redundancy.first_of_each(docs, "lang", "digest", "size", ["source", "doc_id"], 16 << 20)
+    return codecs.stream_trials(chosen, "lang", "doc_id", "content").select("lang", "key", "method", "status", "exact", "input_bytes")
+
+
 @query()
 def codec_roundtrip(t):
     """Every document through each codec: sizes and exactness (times aside)."""

@@ -217,3 +217,24 @@ def test_health(spark):
 def test_unknown_ids(spark):
     types = spark.createDataFrame([("8",), ("36",)], "type_id string")
     assert rows(registry.unknown_ids(spark, ["8", "99"], types)) == [("99",)]
+
+
+def test_fidelity(spark):
+    files = spark.createDataFrame([("a", 5, [("t", "u")])], "sha256 string, page_count int, sources array<struct<title:string,detail_url:string>>")
+    sample = spark.createDataFrame([("a", ["UU", "small"])], "sha256 string, stratum array<string>")
+    pages = spark.createDataFrame([("a", n, "born", 0.0, 45) for n in range(1, 6)], "sha256 string, page_number int, class_name string, image_coverage double, text_chars int")
+    texts = spark.createDataFrame([("a", 1, "Pasal 1", "Pasal 1"), ("a", 3, "b a", "a b")], "sha256 string, page_number int, text string, sorted_text string")
+    got = pdf.fidelity_sample(sample, files, pages, texts).orderBy("page_number").collect()
+    assert [(r.page_number, r.sort_changes_sequence, r.tags) for r in got] == [(1, False, ["article", "numbers"]), (3, True, []), (5, False, [])]
+
+
+def test_usage(spark):
+    images = spark.createDataFrame([([1], True, "resolved"), ([], False, "ambiguous")], "page_numbers array<int>, fullscan boolean, usage string")
+    trials = spark.createDataFrame([(True,), (False,)], "exact boolean")
+    assert tuple(pdf.usage_counts(images, trials).first()) == (2, 1, 1, 1, 2, 1)
+
+
+def test_savings(spark):
+    df = spark.createDataFrame([("m", "ok", True, 100, 60), ("m", "ok", True, 100, 40), ("m", "error", False, 100, None)], "method string, status string, exact boolean, input_bytes bigint, output_bytes bigint")
+    r = codecs.saving_distribution(df, "method").first()
+    assert (r["count"], round(r["median"], 6)) == (2, 0.5)
