@@ -29,7 +29,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays: the one with the least id."""
+    """One document of each component of near duplicates stays: the one with the least id.
+
+    A row without an id can't be named as the one that stays, and goes.
+    """
     keep = jaccard.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep"))
     # rows that share a doc_id are one document
     return docs.join(keep, F.col("doc_id") == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])

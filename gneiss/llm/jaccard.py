@@ -6,11 +6,15 @@ share one; prefixes are ordered by (common in a bounded sample of documents, has
 of passages that many documents share come last and their lists stay short.
 
 Index-level skipping: in a list, sorted by set size, entries whose sizes or prefix positions rule a
-link out are skipped by blocks.  Answer-level skipping: first each set is held against one leader of
-its list; sets that link are one component, and pairs inside a component are never looked at again.
-The rest must pass a comparison of small count sketches, which bounds an overlap from above; then
-the overlap of two members is bounded by the overlap of their leaders, computed once, and what each
-member has that its leader hasn't.  Only pairs that pass are compared shingle by shingle.
+link out are skipped by blocks, and what stays is written down as pairs of hubs: a hub is the set that
+most of its followers met first in their lists, so a large group of near copies is one pair, not one
+for any two of its members.
+
+Answer-level skipping: the sets of two hubs meet in one task, in blocks of ``HELD`` sets.  The overlaps of
+one set with all others are counted from the lists of its shingles; those of a similar set follow from
+them by the lists of the shingles in which the two differ; and a set whose candidates are all in its
+component already is skipped.  Hubs with few followers meet as pairs of sets, after a comparison of
+small count sketches that bounds their overlap from above.
 
 Defined results: null and empty texts have no shingles, link with nothing and are components of
 their own; equal doc_ids count as one document; an empty table gives no rows; columns other than the
@@ -28,15 +32,18 @@ from gneiss.llm.components import connected_components
 from gneiss.llm.shingles import mix, shingle_sets, texts
 from gneiss.llm.storage import bound_batches, materialize, release
 
-#: A shingle is common if this many of the sampled documents have it.
-COMMON = 4
+#: A shingle is common if about so many documents of the table would list it, and 3 of the sample do.
+COMMON = 32
 #: Documents in the sample that finds common shingles, about.
-SAMPLE = 10_000
+SAMPLE = 25_000
+#: Sets that meet in a task at once; member pairs of two hubs up to which they are looked at as pairs.
+HELD = 2048
+FEW = 64
 #: Bits of the filters that keep texts and sets without any candidate out of a shuffle.
 FILTER_BITS = 1 << 24
 BLOCK = 512
 #: Rows of an Arrow batch; texts are cut into smaller parts by their bytes.
-ROWS = 2000
+ROWS = 500
 
 
 def prefix_size(n: np.ndarray | int, t100: int):
@@ -72,18 +79,24 @@ def _sizes(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, fp bigint, fp_check bigint")
 
 
-def _common(docs: DataFrame, rows: int, width: int) -> np.ndarray:
-    """Sorted hashes of the shingles that COMMON of about SAMPLE documents have: at most a few million."""
+def _common(docs: DataFrame, rows: int, width: int, t100: int) -> np.ndarray:
+    """Sorted hashes of shingles that many sampled documents have among their first by hash.
+
+    At most SAMPLE documents' prefixes divided by 3: a bounded number, whatever the table's size.
+    """
     share = min(1.0, SAMPLE / max(rows, 1))
+    least = max(3, -(-COMMON * SAMPLE // max(rows, SAMPLE)))
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
 
     def run(batches):
         for batch in texts(batches):
-            flat, _ = shingle_sets(batch.column(1), width)
-            token, n = np.unique(flat, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(token), pa.array(n)], ["token", "n"])
+            flat, bounds = shingle_sets(batch.column(1), width)
+            # twice the prefix: shingles that follow when common ones give way
+            own = [flat[a : a + 2 * int(prefix_size(int(b - a), t100))] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            own = [x[: b - a] for x, a, b in zip(own, bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([_signed(np.concatenate(own))], ["token"])
 
-    found = sample.mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON)
+    found = sample.mapInArrow(run, "token bigint").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return np.sort(np.array([x[0] for x in found.select("token").collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -283,38 +296,170 @@ def _linked(t100: int):
     return F.expr(f"100 * overlap >= {t100} * (na + nb - overlap)")
 
 
-def _across(batches, t100: int):
-    """Pairs of a list that lie in different components and that sizes and positions allow."""
-    for token, place, fp, component in _lists(batches):
-        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-        out = []
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
-            if (component[a:b] == component[a]).all():
+def _hub_pairs(batches, t100: int):
+    """Pairs of hubs (a <= b) of entries of a list that sizes and positions allow to link."""
+    for token, place, _, hub in _lists(batches):
+        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, np.int64)
+        count = np.diff(edge)
+        i = edge[:-1][count == 2]
+        i = i[_meet(place[i] >> 32, place[i] & 0xFFFFFFFF, place[i + 1] >> 32, place[i + 1] & 0xFFFFFFFF, t100)]
+        out = [np.stack([np.minimum(hub[i], hub[i + 1]), np.maximum(hub[i], hub[i + 1])])]
+        for k in np.flatnonzero(count > 2):
+            a, b = edge[k], edge[k + 1]
+            if (hub[a:b] == hub[a]).all():
+                out.append(np.array([[hub[a]], [hub[a]]]))
                 continue
-            n, at, own, group = place[a:b] >> 32, place[a:b] & 0xFFFFFFFF, fp[a:b], component[a:b]
-            order = np.lexsort((n, group))  # blocks of one component meet no block of the same
-            n, at, own, group = n[order], at[order], own[order], group[order]
+            n, at, own = place[a:b] >> 32, place[a:b] & 0xFFFFFFFF, hub[a:b]
+            order = np.lexsort((n, own))  # blocks of one hub meet no block of the same
+            n, at, own = n[order], at[order], own[order]
+            names, code = np.unique(own, return_inverse=True)
+            met = np.zeros((len(names), len(names)), bool) if len(names) <= 4096 else None
             blocks = [(s, min(s + BLOCK, b - a)) for s in range(0, b - a, BLOCK)]
             reach = [(n[s:e].min(), n[s:e].max(), (n[s:e] - at[s:e]).max()) for s, e in blocks]
-            for i, (s, e) in enumerate(blocks):
-                for j in range(i, len(blocks)):
-                    u, v = blocks[j]
-                    if group[s] == group[v - 1]:
+            for x, (s, e) in enumerate(blocks):
+                for y in range(x, len(blocks)):
+                    u, v = blocks[y]
+                    if own[s] == own[v - 1]:
+                        out.append(np.array([[own[s]], [own[s]]]))
                         continue
-                    low, high = (reach[i], reach[j]) if reach[i][1] <= reach[j][1] else (reach[j], reach[i])
-                    if 100 * low[1] < t100 * high[0] or min(reach[i][2], reach[j][2]) < needed(reach[i][0], reach[j][0], t100):
+                    low, high = (reach[x], reach[y]) if reach[x][1] <= reach[y][1] else (reach[y], reach[x])
+                    if 100 * low[1] < t100 * high[0] or min(reach[x][2], reach[y][2]) < needed(reach[x][0], reach[y][0], t100):
                         continue
-                    x, y = n[s:e, None], n[None, u:v]
-                    ok = (group[s:e, None] != group[None, u:v]) & _meet(x, at[s:e, None], y, at[None, u:v], t100)
-                    if i == j:
-                        ok = np.triu(ok, 1)
-                    p, q = np.nonzero(ok)
-                    if len(p):
+                    ok = _meet(n[s:e, None], at[s:e, None], n[None, u:v], at[None, u:v], t100)
+                    p, q = np.nonzero(np.triu(ok, 1) if x == y else ok)
+                    if met is not None:
+                        met[code[s:e][p], code[u:v][q]] = True
+                    elif len(p):
                         p, q = own[s:e][p], own[u:v][q]
-                        out.append(np.stack([np.minimum(p, q), np.maximum(p, q)]))
-        if out:
-            pairs = np.unique(np.concatenate(out, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0].copy()), pa.array(pairs[1].copy())], ["a", "b"])
+                        out.append(np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1))
+            if met is not None:
+                p, q = np.nonzero(met)
+                out.append(np.stack([names[np.minimum(p, q)], names[np.maximum(p, q)]]))
+        pairs = np.concatenate(out, axis=1)
+        if pairs.shape[1]:
+            order = np.lexsort(pairs)
+            pairs = pairs[:, order]
+            new = np.ones(pairs.shape[1], bool)
+            new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0][new]), pa.array(pairs[1][new])], ["a", "b"])
+
+
+def _hubs(lists: DataFrame) -> DataFrame:
+    """(fp, hub): of a set itself and its leaders, the one that leads most sets, and that one's hub, twice over.
+
+    A hub leads no fewer sets than what it is hub of, so there are no circles; where near copies chose
+    different hubs, these mostly chose one in turn.
+    """
+    led = lists.where("fp <> leader").select("fp", "leader").distinct()
+    popular = led.groupBy("leader").agg(F.count("*").alias("n"))
+    own = lists.select("fp").distinct().select("fp", F.col("fp").alias("leader"))
+    options = led.unionByName(own).join(popular, "leader", "left").select("fp", "leader", F.coalesce("n", F.lit(0)).alias("n"))
+    hubs = options.groupBy("fp").agg(F.min_by("leader", F.struct(-F.col("n"), F.col("leader"))).alias("hub"))
+    for _ in range(2):
+        hubs = materialize(hubs, "hubs")
+        above = hubs.select(F.col("fp").alias("hub"), F.col("hub").alias("above"))
+        hubs = hubs.join(above, "hub", "left").select("fp", F.coalesce("above", "hub").alias("hub"))
+    return hubs
+
+
+def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, guest: np.ndarray, t100: int, first: int = 0) -> list[tuple[int, int, int, int, int]]:
+    """Links (a, b, na, nb, overlap) between left and right sets that join components; two guests aren't compared.
+
+    The overlaps of the set numbered ``first`` with all are counted once; those of another follow by the
+    shingles in which it differs, where these are fewer than its own.
+    """
+    size = np.array([len(x) for x in sets])
+    names, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    own = np.split(code, np.cumsum(size)[:-1])
+    rows = np.repeat(np.arange(len(sets)), size)
+    order = np.argsort(code, kind="stable")
+    flat, bounds = rows[order], np.concatenate([[0], np.cumsum(count)])
+    of = lambda tokens: np.bincount(np.concatenate([flat[:0], *(flat[bounds[t] : bounds[t + 1]] for t in tokens[count[tokens] > 1])]), minlength=len(sets))
+    base, base_overlap = own[first], of(own[first])
+    component, out = np.arange(len(sets)), []
+    both = left & right
+    for x in np.flatnonzero(left):
+        other = right & ~(both & (np.arange(len(sets)) <= x)) if both[x] else right.copy()
+        other[x] = False
+        if guest[x]:
+            other &= ~guest
+        other &= component != component[x]
+        if not other.any():
+            continue
+        gone, more = np.setdiff1d(base, own[x], assume_unique=True), np.setdiff1d(own[x], base, assume_unique=True)
+        overlap = base_overlap - of(gone) + of(more) if len(gone) + len(more) < len(own[x]) else of(own[x])
+        for y in np.flatnonzero(other & (100 * overlap >= t100 * (size[x] + size - overlap))):
+            if component[y] != component[x]:
+                out.append((int(fps[x]), int(fps[y]), int(size[x]), int(size[y]), int(overlap[y])))
+                component[component == component[y]] = component[x]
+    return out
+
+
+def _cells(sketch: bytes, cells: int) -> np.ndarray:
+    return np.frombuffer(sketch, np.uint8).reshape(-1, cells).sum(axis=0, dtype=np.int64)
+
+
+def _invited(guests: DataFrame, hosts: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
+    """The guests (key, fp) that may link with a host of their key, by sizes and by one sketch for all hosts.
+
+    That sketch has the largest count of each cell, so what it shares with a guest's no host exceeds.
+    """
+    small = sets.select("fp", "n", "sketch").dropDuplicates(["fp"])
+
+    def top(key, table):
+        sketches, n = table.column("sketch").to_pylist(), table.column("n").to_numpy()
+        cells = min(map(len, sketches))
+        full = max(max(x) for x in sketches) == 255
+        most = np.max([_cells(x, cells) for x in sketches], axis=0) if not full else np.zeros(0, np.int64)
+        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([n.min()]), pa.array([n.max()]), pa.array([most.astype(np.int32).tobytes()], pa.binary())], ["key", "lo", "hi", "most"])
+
+    def prune(batches):
+        for batch in batches:
+            ok = []
+            for n, sketch, lo, hi, most in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True):
+                least = max(lo, -(-t100 * n // 100))
+                top = np.frombuffer(most, np.int32)
+                if least > hi or 100 * n < t100 * lo:
+                    ok.append(False)
+                elif not len(top) or max(sketch) == 255:
+                    ok.append(True)
+                else:
+                    cells = min(len(top), len(sketch))
+                    ok.append(int(np.minimum(top.reshape(-1, cells).sum(axis=0), _cells(sketch, cells)).sum()) >= needed(n, least, t100))
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    one = hosts.join(small, "fp").select("key", "n", "sketch").groupBy("key").applyInArrow(top, "key bigint, lo bigint, hi bigint, most binary")
+    return guests.join(small, "fp").join(one, "key").select("key", "fp", "n", "sketch", "lo", "hi", "most").mapInArrow(prune, "key bigint, fp bigint")
+
+
+def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
+    """Links between the members of hubs that met: the smaller group's sets visit the larger one's.
+
+    ``pairs`` has a, b and the sizes of both groups.  A group of more than HELD sets, visitors included, is cut
+    into blocks, and each two blocks meet in a task of their own.
+    """
+    a_hosts = F.expr("na > nb OR (na = nb AND a >= b)")
+    met = pairs.select(F.when(a_hosts, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(a_hosts, F.col("b")).otherwise(F.col("a")).alias("hub"))
+    hosts = met.select("key").distinct().join(members.withColumnRenamed("hub", "key"), "key").select("key", "fp")
+    guests = materialize(_invited(met.where("key <> hub").join(members, "hub").select("key", "fp").distinct(), hosts, sets, t100), "guests")
+    used_keys = met.where("key = hub").select("key").unionByName(guests.select("key")).distinct()
+    hosts = hosts.join(used_keys, "key", "left_semi")
+    rows = materialize(hosts.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))), "meeting")
+    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / HELD).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "fp", "guest")
+    used = _within(sets.select("fp", "tokens"), "fp", rows).dropDuplicates(["fp"])
+
+    def run(key, table):
+        hub, i, j = (k.as_py() for k in key)
+        table = table.sort_by([("guest", "ascending"), ("fp", "ascending")])
+        fps, block = table.column("fp").to_numpy(), table.column("block").to_numpy()
+        own = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
+        at = np.flatnonzero(fps == hub)
+        found = link_sets(fps, own, block == i, block == j, table.column("guest").to_numpy(zero_copy_only=False).astype(bool), t100, int(at[0]) if len(at) else 0)
+        return pa.Table.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(5)], ["a", "b", "na", "nb", "overlap"])
+
+    return rows.join(used, "fp").select("key", "i", "j", "block", "fp", "guest", "tokens").groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> DataFrame:
@@ -322,7 +467,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
 
     Two documents link when the Jaccard similarity of their shingle sets is ``similarity`` percent or
     more; component_id is the least doc_id that links reach, n_links the links to documents of other
-    sets that were computed on the way (a lower bound, as pairs inside a component are skipped) and
+    sets that were needed to join its component (not all, as pairs inside a component are skipped) and
     the copies of the own set.
     """
     spark, t100 = docs.sparkSession, similarity
@@ -333,25 +478,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
         keys.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"), (F.min("fp_check") != F.max("fp_check")).alias("torn")),
         "classes",
     )
-    common = _common(docs, keys.count(), width)
+    common = _common(docs, keys.count(), width, t100)
     index = _postings(docs, common, width, t100).repartition("token").sortWithinPartitions("token", "place", "fp")
     lists = materialize(index.mapInArrow(lambda batches: _shared(batches, t100), "token bigint, fp bigint, place bigint, leader bigint"), "lists")
     release(spark)
     wanted = materialize(lists.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")), "wanted")
     sets = materialize(_sets(docs, wanted, width), "sets")
 
-    stars = lists.where("fp <> leader").select(F.least("fp", "leader").alias("a"), F.greatest("fp", "leader").alias("b")).distinct()
-    first = materialize(_exact(_close(stars, sets, t100), sets).where(_linked(t100)), "first")
-    reached = materialize(connected_components(first), "reached")
+    members = materialize(_hubs(lists), "hubs")
+    entries = lists.join(members, "fp").select("token", "place", "fp", "hub").repartition("token").sortWithinPartitions("token", "place", "fp")
+    met = entries.mapInArrow(lambda batches: _hub_pairs(batches, t100), "a bigint, b bigint").distinct()
+    size = members.groupBy("hub").agg(F.count("*").alias("n"))
+    for k in ("a", "b"):
+        met = met.join(size.select(F.col("hub").alias(k), F.col("n").alias(f"n{k}")), k)
+    met = materialize(met.where("a <> b OR na > 1"), "met")
+    release(spark)
+    few = F.expr(f"IF(a = b, na * (na - 1) / 2, na * nb) <= {FEW}")
+    side = lambda k: members.select(F.col("hub").alias(k), F.col("fp").alias(f"f{k}"))
+    pairs = met.where(few).select("a", "b").join(side("a"), "a").join(side("b"), "b").where("fa <> fb")
+    pairs = pairs.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
+    close = _close(pairs, sets, t100)
+    # a pair for each set first; the others only where they would join two components
+    ahead = close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    first = materialize(_exact(materialize(ahead, "ahead"), sets).where(_linked(t100)), "first")
+    release(spark)
+    second = materialize(_grouped(met.where(~few), members, sets, t100), "second")
     release(spark)
-
-    entries = lists.select("token", "fp", "place").join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("token", "place", "fp", F.coalesce("component", "fp").alias("component"))
-    across = entries.repartition("token").sortWithinPartitions("token", "place", "fp").mapInArrow(lambda batches: _across(batches, t100), "a bigint, b bigint").distinct()
-    left = materialize(_derived(_close(across, sets, t100), first, sets, t100), "left")
-    second = materialize(_exact(left, sets).where(_linked(t100)), "second")
-
     links = first.unionByName(second)
-    joined = connected_components(second.select(*(F.col(x) for x in "ab")).unionByName(first.select("a", "b")))
+    joined = materialize(connected_components(links.select("a", "b")), "joined")
+    part = lambda k: joined.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
+    open_ = close.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    third = materialize(_exact(materialize(open_.join(ahead, ["a", "b"], "left_anti"), "open"), sets).where(_linked(t100)), "third")
+    if third.limit(1).count():
+        links = links.unionByName(third)
+        joined = connected_components(links.select("a", "b"))
     degree = links.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
     named = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -362,25 +522,3 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     held = keys.where("n_shingles > 0").join(named, "fp").select("doc_id", "n_shingles", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))
     alone = keys.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links"))
     return held.unionByName(alone)
-
-
-def _derived(pairs: DataFrame, first: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
-    """Pairs that the answers of their leaders leave open.
-
-    A set's leader is the linked set that has most of it.  What two sets share is at most what their
-    leaders share and what each has beyond its leader; the leaders' overlap is computed once for
-    all their members.
-    """
-    both = first.select("a", "b", F.expr("na - overlap").alias("lost")).unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b"), F.expr("nb - overlap").alias("lost")))
-    hubs = both.groupBy("b").agg(F.count("*").alias("members"))
-    led = both.join(hubs, "b").groupBy("a").agg(F.max(F.struct("members", F.col("b").alias("leader"), "lost")).alias("x")).where("x.members > 1").select("a", "x.leader", "x.lost")
-    led = materialize(led, "led")
-    name = lambda k: led.select(F.col("a").alias(k), F.col("leader").alias(f"leader_{k}"), F.col("lost").alias(f"lost_{k}"))
-    known = pairs.join(name("a"), "a", "left").join(name("b"), "b", "left").select("a", "b", F.coalesce("leader_a", "a").alias("x"), F.coalesce("leader_b", "b").alias("y"), F.coalesce("lost_a", F.lit(0)).alias("lost_a"), F.coalesce("lost_b", F.lit(0)).alias("lost_b"))
-    known = materialize(known, "known")
-    led_pairs = known.where("(x <> a or y <> b) and x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    answers = _exact(materialize(led_pairs, "led_pairs"), sets).select(F.col("a").alias("u"), F.col("b").alias("v"), "overlap")
-    size = sets.select("fp", "n").distinct()
-    known = known.withColumn("u", F.least("x", "y")).withColumn("v", F.greatest("x", "y")).join(answers, ["u", "v"], "left")
-    known = known.join(size.select(F.col("fp").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("fp").alias("b"), F.col("n").alias("nb")), "b")
-    return known.where(F.expr(f"overlap is null or {100 + t100} * (overlap + lost_a + lost_b) >= {t100} * (na + nb)")).select("a", "b")

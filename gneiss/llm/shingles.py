@@ -109,7 +109,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
-def texts(batches, most: int = 4 << 20):
+def texts(batches, most: int = 1 << 20):
     """Batches cut into parts whose second column, a text, has about ``most`` bytes, one row at least."""
     for batch in batches:
         for start, part in slices(batch.column(1), most):
