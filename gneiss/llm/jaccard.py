@@ -17,8 +17,9 @@ component already is skipped.  Hubs with few followers meet as pairs of sets, af
 small count sketches that bounds their overlap from above.
 
 Defined results: null and empty texts have no shingles, link with nothing and are components of
-their own; equal doc_ids count as one document; an empty table gives no rows; columns other than the
-two named are ignored.
+their own; equal doc_ids are one document for the least id, each row with the size of its own set; a
+null doc_id is never the least, and stays null as a component of its own; an empty table gives no rows;
+columns other than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ COMMON = 32
 SAMPLE = 25_000
 #: Sets that meet in a task at once; member pairs of two hubs up to which they are looked at as pairs.
 HELD = 2048
-FEW = 64
+FEW = 32
+_FEW = f"IF(a = b, na * (na - 1) / 2, na * nb) <= {FEW}"
 #: Bits of the filters that keep texts and sets without any candidate out of a shuffle.
 FILTER_BITS = 1 << 24
 BLOCK = 512
@@ -345,20 +347,12 @@ def _hub_pairs(batches, t100: int):
 
 
 def _hubs(lists: DataFrame) -> DataFrame:
-    """(fp, hub): of a set itself and its leaders, the one that leads most sets, and that one's hub, twice over.
-
-    A hub leads no fewer sets than what it is hub of, so there are no circles; where near copies chose
-    different hubs, these mostly chose one in turn.
-    """
+    """(fp, hub): of a set itself and its leaders, the one that leads most sets."""
     led = lists.where("fp <> leader").select("fp", "leader").distinct()
     popular = led.groupBy("leader").agg(F.count("*").alias("n"))
     own = lists.select("fp").distinct().select("fp", F.col("fp").alias("leader"))
     options = led.unionByName(own).join(popular, "leader", "left").select("fp", "leader", F.coalesce("n", F.lit(0)).alias("n"))
     hubs = options.groupBy("fp").agg(F.min_by("leader", F.struct(-F.col("n"), F.col("leader"))).alias("hub"))
-    for _ in range(2):
-        hubs = materialize(hubs, "hubs")
-        above = hubs.select(F.col("fp").alias("hub"), F.col("hub").alias("above"))
-        hubs = hubs.join(above, "hub", "left").select("fp", F.coalesce("above", "hub").alias("hub"))
     return hubs
 
 
@@ -432,14 +426,27 @@ def _invited(guests: DataFrame, hosts: DataFrame, sets: DataFrame, t100: int) ->
     return guests.join(small, "fp").join(one, "key").select("key", "fp", "n", "sketch", "lo", "hi", "most").mapInArrow(prune, "key bigint, fp bigint")
 
 
+def _hosted(pairs: DataFrame) -> DataFrame:
+    """Pairs of hubs as (key, hub): the one with more members, then the other."""
+    a_hosts = F.expr("na > nb OR (na = nb AND a >= b)")
+    return pairs.select(F.when(a_hosts, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(a_hosts, F.col("b")).otherwise(F.col("a")).alias("hub"))
+
+
+def _sized(met: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of hubs that met with the numbers of their members; a hub alone meets nobody."""
+    size = members.groupBy("hub").agg(F.count("*").alias("n"))
+    for k in ("a", "b"):
+        met = met.join(size.select(F.col("hub").alias(k), F.col("n").alias(f"n{k}")), k)
+    return met.where("a <> b OR na > 1").select("a", "b", "na", "nb")
+
+
 def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
     """Links between the members of hubs that met: the smaller group's sets visit the larger one's.
 
     ``pairs`` has a, b and the sizes of both groups.  A group of more than HELD sets, visitors included, is cut
     into blocks, and each two blocks meet in a task of their own.
     """
-    a_hosts = F.expr("na > nb OR (na = nb AND a >= b)")
-    met = pairs.select(F.when(a_hosts, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(a_hosts, F.col("b")).otherwise(F.col("a")).alias("hub"))
+    met = _hosted(pairs)
     hosts = met.select("key").distinct().join(members.withColumnRenamed("hub", "key"), "key").select("key", "fp")
     guests = materialize(_invited(met.where("key <> hub").join(members, "hub").select("key", "fp").distinct(), hosts, sets, t100), "guests")
     used_keys = met.where("key = hub").select("key").unionByName(guests.select("key")).distinct()
@@ -488,12 +495,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     members = materialize(_hubs(lists), "hubs")
     entries = lists.join(members, "fp").select("token", "place", "fp", "hub").repartition("token").sortWithinPartitions("token", "place", "fp")
     met = entries.mapInArrow(lambda batches: _hub_pairs(batches, t100), "a bigint, b bigint").distinct()
-    size = members.groupBy("hub").agg(F.count("*").alias("n"))
-    for k in ("a", "b"):
-        met = met.join(size.select(F.col("hub").alias(k), F.col("n").alias(f"n{k}")), k)
-    met = materialize(met.where("a <> b OR na > 1"), "met")
+    met = materialize(_sized(met, members), "met")
     release(spark)
-    few = F.expr(f"IF(a = b, na * (na - 1) / 2, na * nb) <= {FEW}")
+    few = F.expr(_FEW)
     side = lambda k: members.select(F.col("hub").alias(k), F.col("fp").alias(f"f{k}"))
     pairs = met.where(few).select("a", "b").join(side("a"), "a").join(side("b"), "b").where("fa <> fb")
     pairs = pairs.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
