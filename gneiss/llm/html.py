@@ -3,8 +3,10 @@
 A page is cut into blocks of text, each with its path of block-level tags from the root.  Text length
 and punctuation are summed over all blocks of a path and divided by their number; the two ratios are
 fused as a product, smoothed over the sequence of blocks with a Gaussian, and paths whose mean stays
-above a share of the deviation are content.  The element that holds nearly all content is the
-article; headings, paragraphs and lists inside it belong to it even when they are short.
+above a share of the deviation are content.  The outermost article (or else main) tag that holds nearly
+all content is the article, with all of its blocks; without one it is the smallest element that holds
+all content, with its headings, paragraphs and lists and those directly in an element around it (body
+aside), unless they are mostly links.  A block whose path is content is never dropped.
 
 Elements that can't be main text by their tag, role, class or id (menus, footers, sidebars, notices,
 adverts, forms, comments, scripts, styles) are left out before the ratios are taken.
@@ -195,18 +197,23 @@ def main_text(html: str | None) -> str:
         return ""
     chosen = content_paths(found)
     weight: dict[int, int] = {}
+    tags: dict[int, str] = {}
     total = 0
     for b in found:
         if b.path in chosen:
             total += len(b.text)
+            tags.update(b.around)
             for e in b.around:
                 weight[e] = weight.get(e, 0) + len(b.text)
-    holder = max((e for e, w in weight.items() if 10 * w >= 9 * total), default=0)  # the deepest opened last
+    nearly = sorted(e for e, w in weight.items() if 10 * w >= 9 * total)  # outer elements opened first
+    named = [e for tag in ("article", "main") for e in nearly if tags[e] == tag]
+    holder = named[0] if named else max((e for e in nearly if weight[e] == total), default=0)
+    outer = set() if named else {e for e in nearly if weight[e] == total and tags[e] not in ("html", "body")}
     out = []
     for b in found:
-        own = b.around.get(holder)
-        prose = 2 * b.linked <= len(b.text)
-        if own in ("article", "main") or own and prose and (b.tag in PROSE or b.path in chosen) or not holder and b.path in chosen:
+        prose = b.tag in PROSE and 2 * b.linked <= len(b.text)
+        beside = b.around and max(b.around) in outer  # directly in an element around the holder
+        if b.path in chosen or holder in b.around and (named or prose) or prose and beside:
             out.append(b.text)
     return "\n".join(out)
 

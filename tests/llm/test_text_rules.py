@@ -24,6 +24,24 @@ def test_without_article():
     assert html.main_text(page) == "Head\nSome text, that is long enough. It goes on, and on.\nMore text, also long enough; with points."
 
 
+LONG = "A long sentence, with points; and some more of them. " * 20
+
+
+@pytest.mark.parametrize("inner", ["div", "section", "ul"])
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_blocks_around_the_inner_part(inner, outer):
+    part = f"<li>{LONG}</li>" * 3 if inner == "ul" else f"<p>{LONG}</p>" * 3
+    link = "<a href=x>A link, long enough; to be more than half of the paragraph.</a>" if outer != "div" else ""
+    page = f"<body><{outer}><h1>Head, of it.</h1><p>A lead, that is short; but a part. {LONG[:200]}</p><{inner}>{part}</{inner}><p>At last, a close; the end. {link}</p></{outer}></body>"
+    got = html.main_text(page).split("\n")
+    assert len(got) == 6 and got[0] == "Head, of it." and got[1].startswith("A lead") and got[-1].startswith("At last")
+
+
+def test_references_inside_an_article():
+    page = f"<body><article><p>{LONG}</p><ol><li><a href=1>Reference one</a></li></ol></article><div>Else</div></body>"
+    assert html.main_text(page).split("\n")[1:] == ["Reference one"]
+
+
 def test_odd_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == ""
     assert html.main_text("a < b & c") == "a < b & c"
