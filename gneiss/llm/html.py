@@ -9,7 +9,9 @@ all content, with its headings, paragraphs and lists and those directly in an el
 aside), unless they are mostly links.  A block whose path is content is never dropped.
 
 Elements that can't be main text by their tag, role, class or id (menus, footers, sidebars, notices,
-adverts, forms, comments, scripts, styles) are left out before the ratios are taken.
+adverts, forms, comments, scripts, styles) are left out before the ratios are taken.  Marks by role,
+class, id or hidden are lifted, largest element first, as long as they hide more than half of the text
+(of the unmarked article and main tags, if these have text of their own, or else of the page).
 
 Defined results: null and empty pages, and pages without any text, give the empty text; broken tags
 end where the next tag begins; equal rows give equal rows; an empty table gives no rows; other columns
@@ -52,6 +54,8 @@ def _tokens(quoted: str) -> re.Pattern:
 _TOKEN, _STRICT = _tokens('[^"]*+'), _tokens('[^"<]*+')
 #: Tags that end in an open quote, after which quotes are no longer read across tags; open elements at once.
 TORN, DEPTH = 50, 512
+#: Marked elements inside each other that are told apart; what is marked within the last of them goes and stays with it.
+MARKED = 32
 
 
 def _scan(html: str):
@@ -66,39 +70,71 @@ def _scan(html: str):
                 return
 
 
-_MARKED = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?+|"[^"]*+"|'[^']*+'""")
 _WORD = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…，。、！？；：«»]")
 _KERNEL = [math.exp(-(k * k) / 2) for k in range(-RADIUS, RADIUS + 1)]
 
 
 class Block:
-    """Text between two block-level tags: its path, the elements around it, and the text inside links."""
+    """Text between two block-level tags: its path, the elements and marked elements around it, and the text inside links."""
 
-    __slots__ = ("path", "around", "text", "linked", "tag")
+    __slots__ = ("path", "around", "text", "linked", "tag", "marks")
 
-    def __init__(self, path, around, tag, text, linked):
-        self.path, self.around, self.tag, self.text, self.linked = path, around, tag, text, linked
+    def __init__(self, path, around, tag, text, linked, marks):
+        self.path, self.around, self.tag, self.text, self.linked, self.marks = path, around, tag, text, linked, marks
 
 
-def _is_left_out(tag: str, rest: str, inside: bool) -> bool:
-    if tag in LEFT_OUT or tag == "header" and not inside:
-        return True
+def _is_left_out(tag: str, inside: bool) -> bool:
+    return tag in LEFT_OUT or tag == "header" and not inside
+
+
+def _is_marked(tag: str, rest: str, inside: bool) -> bool:
     if not rest or tag in ("html", "body", "article", "main"):
         return False
-    for name, value in _MARKED.findall(rest):
+    for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
             return True
-        if name in ("class", "id") and any(w in MARKS or not inside and w == "header" for w in _WORD.findall(value)):
-            return True
+        if name in ("class", "id"):
+            for token in value.split():  # a mark is a whole token, as it is or made of nothing but marks
+                words = _WORD.findall(token)
+                if words and all(w in MARKS or not inside and w == "header" for w in words):
+                    return True
     return False
 
 
+def _lifted(found: list[Block]) -> list[Block]:
+    """The blocks outside marked elements, marks lifted as long as they hide more than half of the text."""
+    named = lambda b: any(t in ("article", "main") for t in b.around.values())
+    scope = [b for b in found if named(b)] if any(named(b) and not b.marks for b in found) else found
+    total = sum(len(b.text) for b in scope)
+    clean = sum(len(b.text) for b in scope if not b.marks)
+    if 2 * clean >= total:
+        return [b for b in found if not b.marks]
+    hidden: dict[int, int] = {}
+    left = [set(b.marks) for b in scope]
+    where: dict[int, list[int]] = {}
+    for k, b in enumerate(scope):
+        for e in b.marks:
+            hidden[e] = hidden.get(e, 0) + len(b.text)
+            where.setdefault(e, []).append(k)
+    gone = set()
+    for e in sorted(hidden, key=lambda e: (-hidden[e], e)):
+        if 2 * clean >= total:
+            break
+        gone.add(e)
+        for k in where[e]:
+            left[k].discard(e)
+            if not left[k]:
+                clean += len(scope[k].text)
+    return [b for b in found if gone.issuperset(b.marks)]
+
+
 def blocks(html: str) -> list[Block]:
-    """The page's blocks in order, without those of elements that are left out."""
+    """The page's blocks in order, without those of elements that are left out by their tag."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool, str]] = []  # tag, number, left out, path
+    stack: list[tuple[str, int, bool, str, tuple[int, ...]]] = []  # tag, number, left out, path, marked elements
     parts: list[str] = []
     linked = links = number = 0
 
@@ -107,7 +143,7 @@ def blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text and not (stack and stack[-1][2]):
-                out.append(Block(stack[-1][3] if stack else "", {s[1]: s[0] for s in stack if s[0] not in PROSE}, stack[-1][0] if stack else "", text, linked))
+                out.append(Block(stack[-1][3] if stack else "", {s[1]: s[0] for s in stack if s[0] not in PROSE}, stack[-1][0] if stack else "", text, linked, stack[-1][4] if stack else ()))
             parts.clear()
         linked = 0
 
@@ -151,13 +187,16 @@ def blocks(html: str) -> list[Block]:
                 stack.pop()
         if tag == "body":  # what the head left open ends here
             del stack[1:]
-            stack[:] = [(t, n, False, p) for t, n, _, p in stack]
+            stack[:] = [(t, n, False, p, ()) for t, n, _, p, _ in stack]
         rest = m["rest"]
         inside = any(s[0] in ("article", "main") for s in stack)
-        away = bool(stack and stack[-1][2]) or _is_left_out(tag, rest, inside)
+        away = bool(stack and stack[-1][2]) or _is_left_out(tag, inside)
         if len(stack) < DEPTH and (not rest.rstrip().endswith("/") or tag in ("p", "div", "body", "article")):
             number += 1
-            stack.append((tag, number, away, (stack[-1][3] if stack else "") + "/" + tag))
+            marks = stack[-1][4] if stack else ()
+            if not away and len(marks) < MARKED and _is_marked(tag, rest, inside):
+                marks = (*marks, number)
+            stack.append((tag, number, away, (stack[-1][3] if stack else "") + "/" + tag, marks))
     if at < len(html):
         parts.append(html[at:])
     flush()
@@ -192,7 +231,7 @@ def content_paths(found: list[Block]) -> set[str]:
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by line feeds."""
-    found = blocks(html or "")
+    found = _lifted(blocks(html or ""))
     if not found:
         return ""
     chosen = content_paths(found)

@@ -42,6 +42,17 @@ def test_references_inside_an_article():
     assert html.main_text(page).split("\n")[1:] == ["Reference one"]
 
 
+@pytest.mark.parametrize("mark", ['class="has-sidebar"', 'class="no-comments"', 'id="search-result"', 'style="overflow:hidden"', 'title="a hidden thing"', 'class="widget"', "hidden"])
+def test_marks_around_the_page(mark):
+    assert html.main_text(f"<body><div {mark}><h1>Head, of it.</h1><p>{LONG}</p><p>{LONG}</p></div></body>") == "\n".join(["Head, of it.", LONG.strip(), LONG.strip()])
+
+
+def test_marks_inside_an_article():
+    body = f"<p>{LONG}</p><section id=related-work><p>Related, but part.</p></section><div class='disclaimer-history'><p>Past, but part.</p></div>"
+    got = html.main_text(f"<body><article>{body}<div class='share sidebar'><p>Share, please.</p></div><p hidden>Not seen, ever.</p></article><div class=comments><p>{LONG * 5}</p></div></body>")
+    assert got.split("\n")[1:] == ["Related, but part.", "Past, but part."]
+
+
 def test_odd_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == ""
     assert html.main_text("a < b & c") == "a < b & c"
