@@ -12,9 +12,9 @@ for any two of its members.
 
 Answer-level skipping: the sets of two hubs meet in one task, in blocks of ``HELD`` sets.  The overlaps of
 one set with all others are counted from the lists of its shingles; those of a similar set follow from
-them by the lists of the shingles in which the two differ; and a set whose candidates are all in its
-component already is skipped.  Hubs with few followers meet as pairs of sets, after a comparison of
-small count sketches that bounds their overlap from above.
+them by the lists of the shingles in which the two differ.  A task gives the links that join components,
+and how many each set has.  Hubs with few followers meet as pairs of sets, after a comparison of small
+count sketches that bounds their overlap from above.  Two sets meet once, so links are counted exactly.
 
 Defined results: null and empty texts have no shingles, link with nothing and are components of
 their own; equal doc_ids are one document for the least id, each row with the size of its own set; a
@@ -356,12 +356,15 @@ def _hubs(lists: DataFrame) -> DataFrame:
     return hubs
 
 
-def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, guest: np.ndarray, t100: int, first: int = 0) -> list[tuple[int, int, int, int, int]]:
+def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, guest: np.ndarray, t100: int, first: int = 0, copies: np.ndarray | None = None, degree: np.ndarray | None = None, hosts: bool = True) -> list[tuple[int, int, int, int, int]]:
     """Links (a, b, na, nb, overlap) between left and right sets that join components; two guests aren't compared.
 
     The overlaps of the set numbered ``first`` with all are counted once; those of another follow by the
-    shingles in which it differs, where these are fewer than its own.
+    shingles in which it differs, where these are fewer than its own.  ``degree`` is raised by the copies of
+    each set's partners, over all links; without ``hosts`` two hosts aren't compared either.
     """
+    copies = np.ones(len(sets), np.int64) if copies is None else copies
+    degree = np.zeros(len(sets), np.int64) if degree is None else degree
     size = np.array([len(x) for x in sets])
     names, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     own = np.split(code, np.cumsum(size)[:-1])
@@ -377,12 +380,16 @@ def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right:
         other[x] = False
         if guest[x]:
             other &= ~guest
-        other &= component != component[x]
+        elif not hosts:
+            other &= guest
         if not other.any():
             continue
         gone, more = np.setdiff1d(base, own[x], assume_unique=True), np.setdiff1d(own[x], base, assume_unique=True)
         overlap = base_overlap - of(gone) + of(more) if len(gone) + len(more) < len(own[x]) else of(own[x])
-        for y in np.flatnonzero(other & (100 * overlap >= t100 * (size[x] + size - overlap))):
+        linked = np.flatnonzero(other & (100 * overlap >= t100 * (size[x] + size - overlap)))
+        degree[x] += copies[linked].sum()
+        degree[linked] += copies[x]
+        for y in linked[component[linked] != component[x]]:
             if component[y] != component[x]:
                 out.append((int(fps[x]), int(fps[y]), int(size[x]), int(size[y]), int(overlap[y])))
                 component[component == component[y]] = component[x]
@@ -440,21 +447,25 @@ def _sized(met: DataFrame, members: DataFrame) -> DataFrame:
     return met.where("a <> b OR na > 1").select("a", "b", "na", "nb")
 
 
-def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
+def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, copies: DataFrame, t100: int) -> DataFrame:
     """Links between the members of hubs that met: the smaller group's sets visit the larger one's.
 
+    Rows (a, b, null) are links that join components, rows (a, null, links) the links of a set in one task,
+    each as often as its partner has ``copies`` (fp, copies).
     ``pairs`` has a, b and the sizes of both groups.  A group of more than HELD sets, visitors included, is cut
     into blocks, and each two blocks meet in a task of their own.
     """
     met = _hosted(pairs)
     hosts = met.select("key").distinct().join(members.withColumnRenamed("hub", "key"), "key").select("key", "fp")
     guests = materialize(_invited(met.where("key <> hub").join(members, "hub").select("key", "fp").distinct(), hosts, sets, t100), "guests")
-    used_keys = met.where("key = hub").select("key").unionByName(guests.select("key")).distinct()
-    hosts = hosts.join(used_keys, "key", "left_semi")
-    rows = materialize(hosts.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True))), "meeting")
+    # hosts meet each other here only if their hub met itself here, and not as pairs of sets
+    own = met.where("key = hub").select("key").distinct()
+    used_keys = own.withColumn("own", F.lit(True)).unionByName(guests.select("key", F.lit(False).alias("own"))).groupBy("key").agg(F.max("own").alias("own"))
+    hosts = hosts.join(used_keys, "key").select("key", "fp", "own")
+    rows = materialize(hosts.withColumn("guest", F.lit(False)).unionByName(guests.withColumns({"own": F.lit(False), "guest": F.lit(True)})), "meeting")
     blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / HELD).cast("int").alias("blocks"))
     rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "fp", "guest")
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "fp", "guest", "own")
     used = _within(sets.select("fp", "tokens"), "fp", rows).dropDuplicates(["fp"])
 
     def run(key, table):
@@ -463,19 +474,24 @@ def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, t100: int) -
         fps, block = table.column("fp").to_numpy(), table.column("block").to_numpy()
         own = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
         at = np.flatnonzero(fps == hub)
-        found = link_sets(fps, own, block == i, block == j, table.column("guest").to_numpy(zero_copy_only=False).astype(bool), t100, int(at[0]) if len(at) else 0)
-        return pa.Table.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(5)], ["a", "b", "na", "nb", "overlap"])
+        guest, hosts = (table.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in ("guest", "own"))
+        degree = np.zeros(len(fps), np.int64)
+        found = link_sets(fps, own, block == i, block == j, guest, t100, int(at[0]) if len(at) else 0, table.column("copies").to_numpy(), degree, bool(hosts.any()))
+        held = np.flatnonzero(degree)
+        a = pa.array([x[0] for x in found] + fps[held].tolist(), pa.int64())
+        b = pa.array([x[1] for x in found] + [None] * len(held), pa.int64())
+        return pa.Table.from_arrays([a, b, pa.array([None] * len(found) + degree[held].tolist(), pa.int64())], ["a", "b", "links"])
 
-    return rows.join(used, "fp").select("key", "i", "j", "block", "fp", "guest", "tokens").groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
+    rows = rows.join(used, "fp").join(copies, "fp").select("key", "i", "j", "block", "fp", "guest", "own", "copies", "tokens")
+    return rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint, links bigint")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for each document, without losing a link.
 
     Two documents link when the Jaccard similarity of their shingle sets is ``similarity`` percent or
-    more; component_id is the least doc_id that links reach, n_links the links to documents of other
-    sets that were needed to join its component (not all, as pairs inside a component are skipped) and
-    the copies of the own set.
+    more; component_id is the least doc_id that links reach, n_links the number of all other rows that a
+    row links with, copies of its own set included.
     """
     spark, t100 = docs.sparkSession, similarity
     bound_batches(spark, ROWS)
@@ -502,21 +518,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     pairs = met.where(few).select("a", "b").join(side("a"), "a").join(side("b"), "b").where("fa <> fb")
     pairs = pairs.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
     close = _close(pairs, sets, t100)
-    # a pair for each set first; the others only where they would join two components
-    ahead = close.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = materialize(_exact(materialize(ahead, "ahead"), sets).where(_linked(t100)), "first")
+    copies = classes.select("fp", "copies")
+    first = materialize(_exact(close, sets).where(_linked(t100)).select("a", "b"), "first")
     release(spark)
-    second = materialize(_grouped(met.where(~few), members, sets, t100), "second")
+    second = materialize(_grouped(met.where(~few), members, sets, copies, t100), "second")
     release(spark)
-    links = first.unionByName(second)
-    joined = materialize(connected_components(links.select("a", "b")), "joined")
-    part = lambda k: joined.select(F.col("node").alias(k), F.col("component").alias(f"c{k}"))
-    open_ = close.join(part("a"), "a", "left").join(part("b"), "b", "left").where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    third = materialize(_exact(materialize(open_.join(ahead, ["a", "b"], "left_anti"), "open"), sets).where(_linked(t100)), "third")
-    if third.limit(1).count():
-        links = links.unionByName(third)
-        joined = connected_components(links.select("a", "b"))
-    degree = links.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("links"))
+    joined = materialize(connected_components(first.unionByName(second.where("b IS NOT NULL").select("a", "b"))), "joined")
+    ends = first.select(F.inline(F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("other")), F.struct(F.col("b").alias("fp"), F.col("a").alias("other")))))
+    ends = ends.join(copies.select(F.col("fp").alias("other"), F.col("copies").alias("links")), "other").select("fp", "links")
+    degree = ends.unionByName(second.where("b IS NULL").select(F.col("a").alias("fp"), "links")).groupBy("fp").agg(F.sum("links").alias("links"))
     named = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "component").join(degree, "fp", "left").select("fp", "component_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), "torn")

@@ -67,6 +67,20 @@ def test_brute_force(spark, seed, monkeypatch):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("held", [16, 2048])
+@pytest.mark.parametrize("few", [0, 32, 10**6])
+def test_links(spark, held, few, monkeypatch):
+    """Each row's number of links, copies included, whichever way its set meets others."""
+    monkeypatch.setattr(jaccard, "HELD", held)
+    monkeypatch.setattr(jaccard, "_FEW", f"IF(a = b, na * (na - 1) / 2, na * nb) <= {few}")
+    rows = corpus(3, groups=4)
+    words = {i: re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower()) for i, t in rows}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set() for i, w in words.items()}
+    want = {i: sum(1 for j, t in sets.items() if j != i and s and 100 * len(s & t) >= 75 * len(s | t)) for i, s in sets.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.n_links for r in jaccard.near_duplicates(df).collect()} == want and max(want.values()) > 15
+
+
 def test_empty(spark):
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
