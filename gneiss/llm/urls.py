@@ -7,7 +7,7 @@ logistic loss) is grown from sums of gradients over these counts, a few hundred
 is one expression over the bins.
 
 The rates of blocked urls under a host's last label and under a path's first segment are features;
-each is kept for the SUFFIXES values with the most labelled urls, and others take the overall rate.
+each labelled value has its smoothed rate in a table that is joined, and others take the overall rate.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits no rule and gets
 the method's verdict on its features; without any labelled url the method allows; equal rows give
@@ -26,7 +26,7 @@ from gneiss.llm.storage import materialize
 
 #: (verdict, rule) as the query uses them.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-TREES, RATE, SUFFIXES = 10, 0.4, 256
+TREES, RATE = 10, 0.4
 _ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-_?=&%#:"
 
 
@@ -80,23 +80,24 @@ RATED = {"suffix": "substring_index(host, '.', -1)", "section": "regexp_extract(
 
 @dataclass
 class Model:
-    """Trees as ((feature, bin), ((feature, bin, low value, high value) of the low side, of the high side)); rates by RATED value."""
+    """Trees as ((feature, bin), ((feature, bin, low value, high value) of the low side, of the high side)); a table (value, rate) for each of RATED."""
 
     base: float
     trees: list
-    rates: dict[str, dict[str, float]]
+    rates: dict[str, DataFrame]
     rate: float
 
 
-def _bins(ruled: DataFrame, rates: dict[str, dict[str, float]], rate: float) -> DataFrame:
+def _bins(ruled: DataFrame, rates: dict[str, DataFrame], rate: float) -> DataFrame:
     """``ruled`` with __bins, an array of a small number for each feature."""
     out = ruled.withColumn("__url", F.coalesce(F.col("url").cast("string"), F.lit(""))).withColumn("__lower", F.lower("__url"))
     for name, sql in RATED.items():
         known = F.lit(float(rate))
-        if own := rates.get(name):
-            table = F.create_map(*[x for k, v in own.items() for x in (F.lit(k), F.lit(float(v)))])
-            known = F.coalesce(F.try_element_at(table, F.expr(sql)), known)
-        out = out.withColumn(f"__{name}_rate", known)
+        if name in rates:
+            own = rates[name].select(F.col("value").alias(f"__{name}"), F.col("rate").alias("__own"))
+            out = out.withColumn(f"__{name}", F.expr(sql)).join(own, f"__{name}", "left")
+            known = F.coalesce("__own", known)
+        out = out.withColumn(f"__{name}_rate", known).drop(f"__{name}", "__own")
     values = {f"__v_{name}": F.expr(sql).cast("double") for name, (sql, _) in FEATURES.items()}
     out = out.withColumns(values)
     bins = [F.expr(f"CASE {' '.join(f'WHEN `__v_{name}` <= {float(e)}D THEN {i}' for i, e in enumerate(edges))} ELSE {len(edges)} END") for name, (_, edges) in FEATURES.items()]
@@ -138,8 +139,8 @@ def train(ruled: DataFrame, trees: int = TREES, rate: float = RATE) -> Model:
     share = (totals[0] + 1) / (totals[1] + 2)
     rates = {}
     for name, sql in RATED.items():
-        top = labelled.groupBy(F.expr(sql).alias("s")).agg(F.sum("__y").alias("y"), F.count("*").alias("n")).orderBy(F.desc("n"), "s").limit(SUFFIXES).collect()
-        rates[name] = {s: (y + 10 * share) / (n + 10) for s, y, n in top}
+        counted = labelled.groupBy(F.expr(sql).alias("value")).agg(F.sum("__y").alias("y"), F.count("*").alias("n"))
+        rates[name] = materialize(counted.select("value", ((F.col("y") + 10 * share) / (F.col("n") + 10)).alias("rate")), name)
     cells = materialize(_bins(labelled, rates, share).groupBy("__bins").agg(F.sum("__y").alias("y"), F.count("*").cast("double").alias("n")), "cells")
     model = Model(math.log(share / (1 - share)), [], rates, share)
     for _ in range(trees):

@@ -112,3 +112,14 @@ def test_boosting_follows_features(spark):
     model = urls.train(df)
     scored = urls._bins(df, model.rates, model.rate).withColumn("s", urls.margin(model) >= 0)
     assert scored.where((F.col("s")) == (F.col("page_id") % 7 >= 4)).count() >= 297
+
+
+def test_every_section_keeps_its_rate(spark):
+    """Rates belong to all labelled values, however many there are."""
+    rows = [(f"http://a{k % 500:03d}.s{k % 500:03d}/p{k % 500:03d}/x", "block" if k % 500 % 2 else "allow") for k in range(1500)]
+    df = urls.apply_rules(spark.createDataFrame(rows, "url string, said string")).withColumn("ruled", F.col("said"))
+    model = urls.train(df)
+    rate = [k for k, name in enumerate(urls.FEATURES) if name in ("suffix_rate", "section_rate")]
+    got = urls._bins(df, model.rates, model.rate).select("said", *(F.col("__bins")[k] for k in rate)).distinct().collect()
+    assert sorted(map(tuple, got)) == [("allow", 3, 3), ("block", 6, 6)]
+    assert urls._bins(df, model.rates, model.rate).where((urls.margin(model) >= 0) != (F.col("said") == "block")).count() == 0
