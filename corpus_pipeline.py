@@ -29,13 +29,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates stays: the one with the least id.
+    """One row of each component of near duplicates stays: that of the least id, of rows without an id the last choice.
 
-    A row without an id can't be named as the one that stays, and goes.
+    Rows are told apart by two hashes of all columns, not by doc_id; rows equal in every column are one.  Of
+    rows without a word one for each text stays, and all whose text is null.
     """
-    keep = jaccard.near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__keep"))
-    # rows that share a doc_id are one document
-    return docs.join(keep, F.col("doc_id") == F.col("__keep"), "left_semi").dropDuplicates(["doc_id"])
+    parts = [x for f in docs.schema.fields if "map<" not in f.dataType.simpleString() for x in (F.col(f"`{f.name}`").isNull(), F.col(f"`{f.name}`"))]
+    keyed = docs.withColumns({"__key": F.xxhash64(*parts), "__check": F.xxhash64(F.lit(1), *parts)})
+    found = jaccard.near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text")).select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__component"))
+    blank = F.when(~F.col("text").rlike(r"[^ \t-\r]"), F.col("text"))
+    named = keyed.select("__key", "doc_id", blank.alias("__blank")).join(found.distinct(), "__key")
+    group = F.when(F.col("__blank").isNull(), F.col("__component"))
+    keep = named.groupBy("__blank", group.alias("__group")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key")).alias("least"))
+    return keyed.join(keep.select(F.col("least.__key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key", "__check"]).drop("__key", "__check")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,15 @@ def test_edge_rows(spark, tmp_path):
         docs = C.materialize(stage(spark, docs, ""), name)
         assert docs.columns[:5] == ["doc_id", "text", "lang", "source", "n_chars"] and len(docs.columns) == 9
     assert C.packing_stage(spark, docs, "").count() >= 1
+
+
+def test_near_duplicates_keep_unique_rows(spark):
+    """Only a row with a copy goes: not one without an id, nor one that shares an id with another text."""
+    import corpus_pipeline as C
+
+    text = lambda n: " ".join(f"w{n}x{k}" for k in range(40))
+    rows = [(3, text(1)), (5, text(1)), (5, text(2)), (None, text(3)), (None, text(4)), (None, text(2)), (8, text(5)), (8, text(5)), (None, text(6)), (None, text(6)), (9, " "), (None, " "), (10, ""), (11, None), (12, None)]
+    docs = spark.createDataFrame([(*r, k % 2) for k, r in enumerate(rows)], "doc_id long, text string, n long").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in C.near_duplicates(spark, docs, "").collect()), key=str)
+    want = [(3, text(1)), (5, text(2)), (None, text(3)), (None, text(4)), (8, text(5)), (None, text(6)), (9, " "), (10, ""), (11, None), (12, None)]
+    assert got == sorted(want, key=str)
