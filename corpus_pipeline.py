@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gneiss.llm import jaccard, langid, packing, pii, quality
 from gneiss.llm.storage import materialize, shielded
 
-#: Documents whose language is less sure than this go.
+#: Documents whose language, or set of languages, is less sure than this go.
 LEAST_SCORE = 0.5
 
 
@@ -18,12 +18,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or of no sure language, go; lang becomes the identified language."""
+    """Documents without a letter, or of no sure set of languages, go; lang becomes the language of the largest share."""
     model = langid.learn(docs.where(~langid.held_out(docs)).select("text", "lang"))
 
     def work(own: DataFrame) -> DataFrame:
         found = langid.identify(own, model)
-        return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE)).withColumn("lang", F.col("lang_pred"))
+        # the score is the top language's share of a mixture times the certainty of the chosen languages
+        sure = F.col("score") / F.try_element_at("shares", F.col("lang_pred"))
+        return found.where((F.col("lang_pred") != "und") & (sure >= LEAST_SCORE)).withColumn("lang", F.col("lang_pred"))
 
     return shielded(docs, ("doc_id", "text", "lang"), work)
 

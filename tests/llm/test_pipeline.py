@@ -62,3 +62,19 @@ def test_near_duplicates_keep_unique_rows(spark):
     got = sorted(((r.doc_id, r.text) for r in C.near_duplicates(spark, docs, "").collect()), key=str)
     want = [(3, text(1)), (5, text(2)), (None, text(3)), (None, text(4)), (8, text(5)), (None, text(6)), (9, " "), (10, ""), (11, None), (12, None)]
     assert got == sorted(want, key=str)
+
+
+def test_mixtures_stay(spark, data):
+    """Documents of three or four known languages stay, whatever the largest share."""
+    import corpus_pipeline as C
+
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang")
+    names = sorted(r.lang for r in docs.select("lang").distinct().collect())
+    part = {n: " ".join(r.text for r in docs.where(F.col("lang") == n).orderBy("doc_id").limit(5).collect())[:3000] for n in names}
+    mixed = [(10**6 + k, " ".join(part[n] for n in names[k : k + 3]), None) for k in range(len(names) - 2)] + [(2 * 10**6, " ".join(part.values()), None), (3 * 10**6, "1 2 3", None)]
+    docs = docs.unionByName(spark.createDataFrame(mixed, "doc_id long, text string, lang string"))
+    model = C.langid.learn(docs.where(~C.langid.held_out(docs)).select("text", "lang"))
+    found = {r.doc_id: r for r in C.langid.identify(docs.where("doc_id >= 1000000"), model).collect()}
+    assert len(names) == 4 and all(found[m[0]].score < 0.5 and len(found[m[0]].shares) >= 3 for m in mixed[:-1])
+    got = {r.doc_id for r in C.language_id(spark, docs, data).where("doc_id >= 1000000").collect()}
+    assert got == {m[0] for m in mixed[:-1]}
