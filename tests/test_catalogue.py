@@ -49,3 +49,12 @@ def test_no_python_in_sql_queries(spark, data):
     for name in ("content_redundancy", "size_distribution", "status_counts", "membership_distribution", "first_wins"):
         plan = QUERIES[name](spark, data)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_all_codecs(spark, data):
+    """Every codec of the operator takes every document and gives it back."""
+    from gneiss.operators import codecs
+
+    n = spark.read.parquet(f"{data}/documents.parquet").count()
+    got = {r.method: (r.status, r.exact, r.n) for r in QUERIES["codec_roundtrip"](spark, data).collect()}
+    assert got == {m: ("ok", True, n) for m in codecs.METHODS}
