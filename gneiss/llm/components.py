@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.storage import materialize
+from gneiss.llm.storage import discard, materialize
 
 
 def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
@@ -25,7 +25,9 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         large = materialize(large, "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        now = materialize(small, "small")
+        small = materialize(small, "small")
+        discard(now, large)
+        now = small
         mark = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("bigint"))).first()
         if tuple(mark) == before:
             break
@@ -33,4 +35,7 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     else:
         raise RuntimeError(f"components didn't settle in {rounds} rounds")
     roots = now.select(F.col("v").alias("node")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    named = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
+    named = materialize(named, "components")
+    discard(now)
+    return named

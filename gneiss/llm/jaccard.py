@@ -5,21 +5,23 @@ inverted index under its prefix, the shingles among which a partner of Jaccard s
 share one; prefixes are ordered by (common in a bounded sample of documents, hash), so that shingles
 of passages that many documents share come last and their lists stay short.
 
-Index-level skipping: in a list, sorted by set size, entries whose sizes or prefix positions rule a
-link out are skipped by blocks, and what stays is written down as pairs of hubs: a hub is the set that
-most of its followers met first in their lists, so a large group of near copies is one pair, not one
-for any two of its members.
-
-Answer-level skipping: the sets of two hubs meet in one task, in blocks of ``HELD`` sets.  The overlaps of
-one set with all others are counted from the lists of its shingles; those of a similar set follow from
-them by the lists of the shingles in which the two differ.  A task gives the links that join components,
-and how many each set has.  Hubs with few followers meet as pairs of sets, after a comparison of small
-count sketches that bounds their overlap from above.  Two sets meet once, so links are counted exactly.
+Index-level skipping: a list is sorted by set size, so the partners that sizes allow an entry are one
+block of it, found by two searches; entries without such a block are skipped.  A set follows the set
+that leads it in most of its lists (the least by hash in its block), its hub; lists are then read by
+blocks of hubs, and give each set once for each hub that it can meet, not once for each partner.  Two
+sets that link share a number of prefix shingles that follows from their sizes, so a set that met a hub
+in fewer lists than any partner there would need stays away from it.
+
+Answer-level skipping: the sets of a hub meet in one task, with their guests from other hubs, in blocks
+of ``HELD`` sets or ``BYTES`` bytes.  The overlaps of a set with all others are counted from the lists of
+its shingles, or follow from those of the most similar set that was answered before, by the lists of the
+shingles in which the two differ.  Any two sets meet once, so links are counted exactly.
 
 Defined results: null and empty texts have no shingles, link with nothing and are components of
 their own; equal doc_ids are one document for the least id, each row with the size of its own set; a
 null doc_id is never the least, and stays null as a component of its own; an empty table gives no rows;
-columns other than the two named are ignored.
+columns other than the two named are ignored; ties (sets that lead equally often, equally similar bases)
+go to the lesser hash, and change no result.
 """
 
 from __future__ import annotations
@@ -31,21 +33,20 @@ from pyspark.sql import functions as F
 
 from gneiss.llm.components import connected_components
 from gneiss.llm.shingles import mix, shingle_sets, texts
-from gneiss.llm.storage import bound_batches, materialize, release
+from gneiss.llm.storage import discard, materialize, release
 
 #: A shingle is common if about so many documents of the table would list it, and 3 of the sample do.
 COMMON = 32
 #: Documents in the sample that finds common shingles, about.
 SAMPLE = 25_000
-#: Sets that meet in a task at once; member pairs of two hubs up to which they are looked at as pairs.
-HELD = 2048
-FEW = 32
-_FEW = f"IF(a = b, na * (na - 1) / 2, na * nb) <= {FEW}"
-#: Bits of the filters that keep texts and sets without any candidate out of a shuffle.
+#: Sets, and bytes of their shingles, of a block; two blocks at most meet in a task.
+HELD, BYTES = 2048, 16 << 20
+#: Answered sets from which the next one's answers may follow.
+BASES = 16
+#: Bits of the filter that keeps texts that meet nobody from being hashed again.
 FILTER_BITS = 1 << 24
-BLOCK = 512
-#: Rows of an Arrow batch; texts are cut into smaller parts by their bytes.
-ROWS = 500
+#: Pairs of an entry and a hub that are looked at side by side.
+SPAN = 1 << 20
 
 
 def prefix_size(n: np.ndarray | int, t100: int):
@@ -150,65 +151,107 @@ def _lists(batches):
         yield rest
 
 
-def _meet(x, i, y, j, t100: int):
-    """Whether sets of sizes x and y can link if their first common shingles are at i and j."""
-    return (100 * np.minimum(x, y) >= t100 * np.maximum(x, y)) & (np.minimum(x - i, y - j) >= needed(x, y, t100))
+def _new(*columns: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    return new
 
 
-def _shared(batches, t100: int):
-    """Entries that can link with another of their list, each with the first that it can link with.
+def _reach(size: np.ndarray, t100: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least and the greatest size of a set that sets of these sizes can link with."""
+    return (t100 * size + 99) // 100, 100 * size // t100
 
-    Lists of up to BLOCK entries are decided pair by pair; in longer ones an entry stays if it could
-    link with one of the least size that it allows, and its leader is the first of that size or more.
-    """
+
+def _block_least(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The least of values[lo:hi] for each of these (non-empty) blocks."""
+    out, width = np.empty(len(lo), values.dtype), np.frexp((hi - lo).astype(np.float64))[1] - 1
+    table = values
+    for level in range(int(width.max(initial=0)) + 1):
+        now = np.flatnonzero(width == level)
+        out[now] = np.minimum(table[lo[now]], table[hi[now] - (1 << level)])
+        step = 1 << level
+        table = np.concatenate([np.minimum(table[:-step], table[step:]), table[-step:]]) if step < len(table) else table
+    return out
+
+
+def _shared(batches, t100: int):
+    """Entries whose list has another that sizes allow to link, each with the least hash among these and itself."""
     for token, fp, place in _lists(batches):
-        new = np.ones(len(token), bool)
-        new[1:] = (token[1:] != token[:-1]) | (fp[1:] != fp[:-1])  # sorted by token, place, fp: a set has one place in a list
+        new = _new(token, place, fp)  # sorted by token, place, fp; copies in other tasks list a set again
         token, fp, place = token[new], fp[new], place[new]
+        if not len(token):
+            continue
+        size = place >> 32
+        run = np.cumsum(_new(token)) << 32
+        low, high = _reach(size, t100)
+        lo, hi = np.searchsorted(run + size, run + low), np.searchsorted(run + size, run + high, side="right")
+        keep = np.flatnonzero(hi - lo > 1)
+        if len(keep):
+            leader = _block_least(fp, lo[keep], hi[keep])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[keep]) for x in (token, fp, place)), pa.array(leader)], ["token", "fp", "place", "leader"])
+
+
+def _least_shared(n, m, t100: int):
+    """No more than the prefix shingles that two linked sets share, if one has size n and the other any size up to m.
+
+    A shingle beyond the shorter prefix is beyond both; so many of the overlap can't be seen.  Between two
+    sizes the bound is highest near n, so that of m is the least; 2 are allowed for rounding.
+    """
+    rest = lambda x: x - prefix_size(x, t100)
+    return needed(n, m, t100) - np.maximum(rest(n), rest(m)) - 2
+
+
+def _met(batches, t100: int):
+    """For each set and each hub that it meets (key): lists in which it does, and how many any partner there needs.
+
+    Of two hubs the one with more followers is the host, and the other's sets are its guests.  ``near`` says
+    whether in one of the lists enough shingles follow the set's place for a link.
+    """
+    names = ["key", "fp", "n", "guest", "lists", "need", "near"]
+    for token, place, fp, hub, members in _lists(batches):
         if not len(token):
             continue
         size, at = place >> 32, place & 0xFFFFFFFF
-        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-        count = np.diff(edge)
-        leader = fp.copy()
-        keep = np.zeros(len(fp), bool)
-        i = edge[:-1][count == 2]
-        i = i[_meet(size[i], at[i], size[i + 1], at[i + 1], t100)]
-        keep[i] = keep[i + 1] = True
-        leader[i + 1] = fp[i]
-        for k in np.flatnonzero(count > 2):
-            a, b = edge[k], edge[k + 1]
-            n, p = size[a:b], at[a:b]
-            if b - a <= BLOCK:
-                ok = _meet(n[:, None], p[:, None], n, p, t100)
-                np.fill_diagonal(ok, False)
-                keep[a:b] = ok.any(axis=0)
-                first = ok.argmax(axis=0)
-                leader[a:b] = np.where(ok[first, np.arange(b - a)], fp[a + first], fp[a:b])
-            else:
-                first = np.searchsorted(n, (t100 * n + 99) // 100)
-                least = np.minimum(np.where(first == np.arange(b - a), first + 1, first), b - a - 1)
-                keep[a:b] = (n - p >= needed(n, n[least], t100)) & (100 * n[least] <= 10000 * n // t100)
-                ok = _meet(n, p, n[first], p[first], t100)
-                leader[a:b] = np.where(ok, fp[a + first], fp[a:b])
-        if keep.any():
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (token, fp, place, leader)], ["token", "fp", "place", "leader"])
-
-
-def _sketch(tokens: np.ndarray) -> bytes:
-    """Counts of the set's hashes in about half as many cells as it has members (a power of two)."""
-    cells = 1 << max(3, int(len(tokens)).bit_length() - 1)
-    return np.minimum(np.bincount((tokens & np.uint64(cells - 1)).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes()
-
-
-def sketch_bound(a: bytes, b: bytes) -> int:
-    """No less than the overlap of the two sets (cells that hold 255 may hold more)."""
-    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
-    if max(x.max(initial=0), y.max(initial=0)) == 255:
-        return 1 << 60
-    cells = min(len(x), len(y))
-    x, y = (v.reshape(-1, cells).sum(axis=0, dtype=np.int64) for v in (x, y))
-    return int(np.minimum(x, y).sum())
+        order = np.lexsort((size, hub, token))
+        token, size, at, fp, hub, members = (x[order] for x in (token, size, at, fp, hub, members))
+        head = _new(token, hub)
+        run = np.cumsum(head) - 1  # blocks of one hub in one list
+        first = np.flatnonzero(head)
+        listed = np.cumsum(_new(token)) - 1
+        runs = np.searchsorted(listed[first], np.arange(listed[-1] + 2))  # the first block of each list
+        width = (runs[1:] - runs[:-1])[listed]
+        search = (run.astype(np.int64) << 32) + size
+        low, high = _reach(size, t100)
+        ends = np.concatenate([[0], np.cumsum(width)])
+        parts, start = [], 0
+        while start < len(token):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + SPAN, side="right")) - 1)
+            x = np.repeat(np.arange(start, stop), width[start:stop])
+            r = runs[listed[x]] + np.arange(len(x)) - (ends[x] - ends[start])
+            lo, hi = np.searchsorted(search, (r << 32) + low[x]), np.searchsorted(search, (r << 32) + high[x], side="right")
+            own = r == run[x]
+            ok = hi - lo > own
+            x, r, lo, hi, own = x[ok], r[ok], lo[ok], hi[ok], own[ok]
+            h, m = hub[first[r]], members[first[r]]
+            guest = (m > members[x]) | (m == members[x]) & (h > hub[x])
+            need = np.minimum(_least_shared(size[x], size[lo], t100), _least_shared(size[x], size[hi - 1], t100))
+            near = size[x] - at[x] >= needed(size[x], size[lo], t100)
+            key = np.where(guest, h, hub[x])
+            order = np.lexsort((key, x))
+            key, x, guest, need, near = (v[order] for v in (key, x, guest, need, near))
+            edge = np.flatnonzero(_new(key, x)) if len(x) else np.zeros(0, np.int64)
+            if len(edge):
+                parts.append([key[edge], fp[x[edge]], size[x[edge]], guest[edge], np.minimum.reduceat(need, edge), np.logical_or.reduceat(near, edge)])
+            start = stop
+        if not parts:
+            continue
+        key, fp, size, guest, need, near = (np.concatenate(v) for v in zip(*parts, strict=True))
+        order = np.lexsort((fp, key))
+        key, fp, size, guest, need, near = (v[order] for v in (key, fp, size, guest, need, near))
+        edge = np.flatnonzero(_new(key, fp))
+        lists = np.diff(np.concatenate([edge, [len(key)]]))
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[edge], fp[edge], size[edge], guest[edge], lists, np.minimum.reduceat(need, edge), np.logical_or.reduceat(near, edge))], names)
 
 
 def _slot(column: str):
@@ -230,22 +273,8 @@ def _passes(mask: np.ndarray, slot: pa.Array) -> pa.Array:
     return pa.array(mask[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1)
 
 
-def _within(frame: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """Rows of ``frame`` whose ``column`` may be among that of ``wanted``; none that is gets lost."""
-    sent, last = _filter(wanted, column), len(frame.columns)
-
-    def run(batches):
-        for batch in batches:
-            yield batch.filter(_passes(sent.value, batch.column(last))).select(list(range(last)))
-
-    return frame.withColumn("__slot", _slot(column)).mapInArrow(run, frame.schema)
-
-
 def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """fp, tokens (8 bytes each, sorted), n and sketch of the documents in ``wanted`` (doc_id) and a few others.
-
-    Sets leave the task that reads their text for a file, not for a shuffle; an fp may come twice.
-    """
+    """fp and tokens (8 bytes each, sorted) of the documents in ``wanted`` (doc_id) and a few others; an fp may come twice."""
     sent = _filter(wanted, "doc_id")
 
     def run(batches):
@@ -254,235 +283,94 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             flat, bounds = shingle_sets(batch.column(1), width)
-            own = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            fps = _fingerprints(flat, bounds)
-            yield pa.RecordBatch.from_arrays([_signed(fps), pa.array([x.tobytes() for x in own], pa.binary()), pa.array([len(x) for x in own], pa.int64()), pa.array([_sketch(x) for x in own], pa.binary())], ["fp", "tokens", "n", "sketch"])
-
-    return docs.withColumn("__slot", _slot("doc_id")).mapInArrow(run, "fp bigint, tokens binary, n bigint, sketch binary")
-
-
-def _sides(pairs: DataFrame, sets: DataFrame, *names: str) -> DataFrame:
-    """a, b and the named columns of both sets."""
-    sets = sets.select("fp", *names).dropDuplicates(["fp"])
-    for k in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("fp").alias(k), *(F.col(x).alias(f"{x}_{k}") for x in names)), k)
-    return pairs.select("a", "b", *(f"{x}_{k}" for x in names for k in ("a", "b")))
-
+            own = [flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([_signed(_fingerprints(flat, bounds)), pa.array(own, pa.binary())], ["fp", "tokens"])
 
-def _close(pairs: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
-    """The pairs (a, b) that their sketches don't rule out."""
-
-    def run(batches):
-        for batch in batches:
-            _, _, sa, sb, na, nb = (x.to_pylist() for x in batch.columns)
-            ok = [sketch_bound(x, y) >= needed(m, n, t100) for x, y, m, n in zip(sa, sb, na, nb, strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    return materialize(_sides(pairs.select("a", "b"), sets, "sketch", "n").mapInArrow(run, "a bigint, b bigint"), "close")
-
-
-def _exact(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, na, nb, overlap of the pairs (a, b), shingle by shingle."""
-
-    def run(batches):
-        for batch in batches:
-            x, y = ([np.frombuffer(t, np.uint64) for t in batch.column(k).to_pylist()] for k in (2, 3))
-            both = [len(np.intersect1d(m, n, assume_unique=True)) for m, n in zip(x, y, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(v, pa.int64()) for v in ([len(m) for m in x], [len(n) for n in y], both))], ["a", "b", "na", "nb", "overlap"])
-
-    used = _within(sets.select("fp", "tokens"), "fp", pairs.select(F.explode(F.array("a", "b")).alias("fp")))
-    return _sides(pairs.select("a", "b"), used, "tokens").mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint, overlap bigint")
-
-
-def _linked(t100: int):
-    return F.expr(f"100 * overlap >= {t100} * (na + nb - overlap)")
-
-
-def _hub_pairs(batches, t100: int):
-    """Pairs of hubs (a <= b) of entries of a list that sizes and positions allow to link."""
-    for token, place, _, hub in _lists(batches):
-        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]])) if len(token) else np.zeros(1, np.int64)
-        count = np.diff(edge)
-        i = edge[:-1][count == 2]
-        i = i[_meet(place[i] >> 32, place[i] & 0xFFFFFFFF, place[i + 1] >> 32, place[i + 1] & 0xFFFFFFFF, t100)]
-        out = [np.stack([np.minimum(hub[i], hub[i + 1]), np.maximum(hub[i], hub[i + 1])])]
-        for k in np.flatnonzero(count > 2):
-            a, b = edge[k], edge[k + 1]
-            if (hub[a:b] == hub[a]).all():
-                out.append(np.array([[hub[a]], [hub[a]]]))
-                continue
-            n, at, own = place[a:b] >> 32, place[a:b] & 0xFFFFFFFF, hub[a:b]
-            order = np.lexsort((n, own))  # blocks of one hub meet no block of the same
-            n, at, own = n[order], at[order], own[order]
-            names, code = np.unique(own, return_inverse=True)
-            met = np.zeros((len(names), len(names)), bool) if len(names) <= 4096 else None
-            blocks = [(s, min(s + BLOCK, b - a)) for s in range(0, b - a, BLOCK)]
-            reach = [(n[s:e].min(), n[s:e].max(), (n[s:e] - at[s:e]).max()) for s, e in blocks]
-            for x, (s, e) in enumerate(blocks):
-                for y in range(x, len(blocks)):
-                    u, v = blocks[y]
-                    if own[s] == own[v - 1]:
-                        out.append(np.array([[own[s]], [own[s]]]))
-                        continue
-                    low, high = (reach[x], reach[y]) if reach[x][1] <= reach[y][1] else (reach[y], reach[x])
-                    if 100 * low[1] < t100 * high[0] or min(reach[x][2], reach[y][2]) < needed(reach[x][0], reach[y][0], t100):
-                        continue
-                    ok = _meet(n[s:e, None], at[s:e, None], n[None, u:v], at[None, u:v], t100)
-                    p, q = np.nonzero(np.triu(ok, 1) if x == y else ok)
-                    if met is not None:
-                        met[code[s:e][p], code[u:v][q]] = True
-                    elif len(p):
-                        p, q = own[s:e][p], own[u:v][q]
-                        out.append(np.unique(np.stack([np.minimum(p, q), np.maximum(p, q)]), axis=1))
-            if met is not None:
-                p, q = np.nonzero(met)
-                out.append(np.stack([names[np.minimum(p, q)], names[np.maximum(p, q)]]))
-        pairs = np.concatenate(out, axis=1)
-        if pairs.shape[1]:
-            order = np.lexsort(pairs)
-            pairs = pairs[:, order]
-            new = np.ones(pairs.shape[1], bool)
-            new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0][new]), pa.array(pairs[1][new])], ["a", "b"])
+    return docs.withColumn("__slot", _slot("doc_id")).mapInArrow(run, "fp bigint, tokens binary")
 
 
 def _hubs(lists: DataFrame) -> DataFrame:
-    """(fp, hub): of a set itself and its leaders, the one that leads most sets."""
-    led = lists.where("fp <> leader").select("fp", "leader").distinct()
-    popular = led.groupBy("leader").agg(F.count("*").alias("n"))
-    own = lists.select("fp").distinct().select("fp", F.col("fp").alias("leader"))
-    options = led.unionByName(own).join(popular, "leader", "left").select("fp", "leader", F.coalesce("n", F.lit(0)).alias("n"))
-    hubs = options.groupBy("fp").agg(F.min_by("leader", F.struct(-F.col("n"), F.col("leader"))).alias("hub"))
-    return hubs
+    """(fp, hub, members): the set that leads a set (it may be itself) in most of its lists, and how many follow that."""
+    led = lists.groupBy("fp", "leader").agg(F.count("*").alias("n"))
+    hubs = materialize(led.groupBy("fp").agg(F.min_by("leader", F.struct(-F.col("n"), F.col("leader"))).alias("hub")), "hubs")
+    return hubs.join(hubs.groupBy("hub").agg(F.count("*").alias("members")), "hub").select("fp", "hub", "members")
 
 
-def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, guest: np.ndarray, t100: int, first: int = 0, copies: np.ndarray | None = None, degree: np.ndarray | None = None, hosts: bool = True) -> list[tuple[int, int, int, int, int]]:
-    """Links (a, b, na, nb, overlap) between left and right sets that join components; two guests aren't compared.
+def link_sets(fps: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, guest: np.ndarray, t100: int, copies: np.ndarray | None = None) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """Links (a, b, overlap) between left and right sets that join components, and the copies of each set's partners.
 
-    The overlaps of the set numbered ``first`` with all are counted once; those of another follow by the
-    shingles in which it differs, where these are fewer than its own.  ``degree`` is raised by the copies of
-    each set's partners, over all links; without ``hosts`` two hosts aren't compared either.
+    The overlaps of a set with all others follow from those of the answered set that it differs from least, by
+    the lists of the shingles in which they differ, where these are fewer than its own.  Two guests aren't compared.
     """
     copies = np.ones(len(sets), np.int64) if copies is None else copies
-    degree = np.zeros(len(sets), np.int64) if degree is None else degree
+    degree, every = np.zeros(len(sets), np.int64), np.arange(len(sets))
     size = np.array([len(x) for x in sets])
-    names, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    _, code, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     own = np.split(code, np.cumsum(size)[:-1])
-    rows = np.repeat(np.arange(len(sets)), size)
-    order = np.argsort(code, kind="stable")
-    flat, bounds = rows[order], np.concatenate([[0], np.cumsum(count)])
-    of = lambda tokens: np.bincount(np.concatenate([flat[:0], *(flat[bounds[t] : bounds[t + 1]] for t in tokens[count[tokens] > 1])]), minlength=len(sets))
-    base, base_overlap = own[first], of(own[first])
-    component, out = np.arange(len(sets)), []
+    flat, bounds = np.repeat(every, size)[np.argsort(code, kind="stable")], np.concatenate([[0], np.cumsum(count)])
+
+    def of(tokens: np.ndarray) -> np.ndarray:
+        tokens = tokens[count[tokens] > 1]
+        n = count[tokens]
+        at = np.repeat(bounds[tokens] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        return np.bincount(flat[at], minlength=len(sets))
+
+    bases, answers = np.zeros(0, np.int64), np.zeros((BASES, len(sets)), np.int64)
+    component, out = every.copy(), []
     both = left & right
-    for x in np.flatnonzero(left):
-        other = right & ~(both & (np.arange(len(sets)) <= x)) if both[x] else right.copy()
+    for answered, x in enumerate(np.flatnonzero(left)):
+        other = right & ~(both & (every <= x)) if both[x] else right.copy()
         other[x] = False
         if guest[x]:
             other &= ~guest
-        elif not hosts:
-            other &= guest
         if not other.any():
             continue
-        gone, more = np.setdiff1d(base, own[x], assume_unique=True), np.setdiff1d(own[x], base, assume_unique=True)
-        overlap = base_overlap - of(gone) + of(more) if len(gone) + len(more) < len(own[x]) else of(own[x])
+        far = size[bases] + size[x] - 2 * answers[: len(bases), x]
+        k = int(far.argmin()) if len(far) else -1
+        if k >= 0 and far[k] < size[x]:
+            base = own[bases[k]]
+            gone, more = np.setdiff1d(base, own[x], assume_unique=True), np.setdiff1d(own[x], base, assume_unique=True)
+            overlap = answers[k] - of(gone) + of(more)
+        else:
+            overlap = of(own[x])
+        slot = answered % BASES if len(bases) == BASES else len(bases)
+        bases = np.append(bases, x) if slot == len(bases) else np.where(np.arange(BASES) == slot, x, bases)
+        answers[slot] = overlap
         linked = np.flatnonzero(other & (100 * overlap >= t100 * (size[x] + size - overlap)))
         degree[x] += copies[linked].sum()
         degree[linked] += copies[x]
         for y in linked[component[linked] != component[x]]:
             if component[y] != component[x]:
-                out.append((int(fps[x]), int(fps[y]), int(size[x]), int(size[y]), int(overlap[y])))
+                out.append((int(fps[x]), int(fps[y]), int(overlap[y])))
                 component[component == component[y]] = component[x]
-    return out
-
+    return out, degree
 
-def _cells(sketch: bytes, cells: int) -> np.ndarray:
-    return np.frombuffer(sketch, np.uint8).reshape(-1, cells).sum(axis=0, dtype=np.int64)
 
-
-def _invited(guests: DataFrame, hosts: DataFrame, sets: DataFrame, t100: int) -> DataFrame:
-    """The guests (key, fp) that may link with a host of their key, by sizes and by one sketch for all hosts.
-
-    That sketch has the largest count of each cell, so what it shares with a guest's no host exceeds.
-    """
-    small = sets.select("fp", "n", "sketch").dropDuplicates(["fp"])
-
-    def top(key, table):
-        sketches, n = table.column("sketch").to_pylist(), table.column("n").to_numpy()
-        cells = min(map(len, sketches))
-        full = max(max(x) for x in sketches) == 255
-        most = np.max([_cells(x, cells) for x in sketches], axis=0) if not full else np.zeros(0, np.int64)
-        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([n.min()]), pa.array([n.max()]), pa.array([most.astype(np.int32).tobytes()], pa.binary())], ["key", "lo", "hi", "most"])
-
-    def prune(batches):
-        for batch in batches:
-            ok = []
-            for n, sketch, lo, hi, most in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True):
-                least = max(lo, -(-t100 * n // 100))
-                top = np.frombuffer(most, np.int32)
-                if least > hi or 100 * n < t100 * lo:
-                    ok.append(False)
-                elif not len(top) or max(sketch) == 255:
-                    ok.append(True)
-                else:
-                    cells = min(len(top), len(sketch))
-                    ok.append(int(np.minimum(top.reshape(-1, cells).sum(axis=0), _cells(sketch, cells)).sum()) >= needed(n, least, t100))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
-
-    one = hosts.join(small, "fp").select("key", "n", "sketch").groupBy("key").applyInArrow(top, "key bigint, lo bigint, hi bigint, most binary")
-    return guests.join(small, "fp").join(one, "key").select("key", "fp", "n", "sketch", "lo", "hi", "most").mapInArrow(prune, "key bigint, fp bigint")
-
-
-def _hosted(pairs: DataFrame) -> DataFrame:
-    """Pairs of hubs as (key, hub): the one with more members, then the other."""
-    a_hosts = F.expr("na > nb OR (na = nb AND a >= b)")
-    return pairs.select(F.when(a_hosts, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(a_hosts, F.col("b")).otherwise(F.col("a")).alias("hub"))
-
-
-def _sized(met: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of hubs that met with the numbers of their members; a hub alone meets nobody."""
-    size = members.groupBy("hub").agg(F.count("*").alias("n"))
-    for k in ("a", "b"):
-        met = met.join(size.select(F.col("hub").alias(k), F.col("n").alias(f"n{k}")), k)
-    return met.where("a <> b OR na > 1").select("a", "b", "na", "nb")
-
-
-def _grouped(pairs: DataFrame, members: DataFrame, sets: DataFrame, copies: DataFrame, t100: int) -> DataFrame:
-    """Links between the members of hubs that met: the smaller group's sets visit the larger one's.
+def _linked(rows: DataFrame, sets: DataFrame, copies: DataFrame, t100: int) -> DataFrame:
+    """Links between the sets (fp, n, guest) that meet at each key.
 
     Rows (a, b, null) are links that join components, rows (a, null, links) the links of a set in one task,
-    each as often as its partner has ``copies`` (fp, copies).
-    ``pairs`` has a, b and the sizes of both groups.  A group of more than HELD sets, visitors included, is cut
+    each as often as its partner has ``copies`` (fp, copies).  More than HELD sets, or BYTES of them, are cut
     into blocks, and each two blocks meet in a task of their own.
     """
-    met = _hosted(pairs)
-    hosts = met.select("key").distinct().join(members.withColumnRenamed("hub", "key"), "key").select("key", "fp")
-    guests = materialize(_invited(met.where("key <> hub").join(members, "hub").select("key", "fp").distinct(), hosts, sets, t100), "guests")
-    # hosts meet each other here only if their hub met itself here, and not as pairs of sets
-    own = met.where("key = hub").select("key").distinct()
-    used_keys = own.withColumn("own", F.lit(True)).unionByName(guests.select("key", F.lit(False).alias("own"))).groupBy("key").agg(F.max("own").alias("own"))
-    hosts = hosts.join(used_keys, "key").select("key", "fp", "own")
-    rows = materialize(hosts.withColumn("guest", F.lit(False)).unionByName(guests.withColumns({"own": F.lit(False), "guest": F.lit(True)})), "meeting")
-    blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / HELD).cast("int").alias("blocks"))
-    rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
-    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "fp", "guest", "own")
-    used = _within(sets.select("fp", "tokens"), "fp", rows).dropDuplicates(["fp"])
+    blocks = rows.groupBy("key").agg(F.count("*").alias("sets"), F.count_if(~F.col("guest")).alias("hosts"), (F.sum("n") * 8).alias("bytes")).where("sets > 1 AND hosts > 0")
+    blocks = blocks.select("key", F.ceil(F.greatest(F.col("sets") / HELD, F.col("bytes") / BYTES)).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "key").join(copies, "fp").withColumn("block", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
+    rows = rows.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("key", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j"), "block", "fp", "guest", "copies")
 
     def run(key, table):
-        hub, i, j = (k.as_py() for k in key)
-        table = table.sort_by([("guest", "ascending"), ("fp", "ascending")])
-        fps, block = table.column("fp").to_numpy(), table.column("block").to_numpy()
+        _, i, j = (k.as_py() for k in key)
+        table = table.sort_by("fp")
+        fps, block, copies = (table.column(k).to_numpy() for k in ("fp", "block", "copies"))
         own = [np.frombuffer(x, np.uint64) for x in table.column("tokens").to_pylist()]
-        at = np.flatnonzero(fps == hub)
-        guest, hosts = (table.column(k).to_numpy(zero_copy_only=False).astype(bool) for k in ("guest", "own"))
-        degree = np.zeros(len(fps), np.int64)
-        found = link_sets(fps, own, block == i, block == j, guest, t100, int(at[0]) if len(at) else 0, table.column("copies").to_numpy(), degree, bool(hosts.any()))
+        guest = table.column("guest").to_numpy(zero_copy_only=False).astype(bool)
+        found, degree = link_sets(fps, own, block == i, block == j, guest, t100, copies)
         held = np.flatnonzero(degree)
         a = pa.array([x[0] for x in found] + fps[held].tolist(), pa.int64())
         b = pa.array([x[1] for x in found] + [None] * len(held), pa.int64())
         return pa.Table.from_arrays([a, b, pa.array([None] * len(found) + degree[held].tolist(), pa.int64())], ["a", "b", "links"])
 
-    rows = rows.join(used, "fp").join(copies, "fp").select("key", "i", "j", "block", "fp", "guest", "own", "copies", "tokens")
+    rows = rows.join(sets.dropDuplicates(["fp"]), "fp").select("key", "i", "j", "block", "fp", "guest", "copies", "tokens")
     return rows.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint, links bigint")
 
 
@@ -494,43 +382,35 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: int = 75) -> Da
     row links with, copies of its own set included.
     """
     spark, t100 = docs.sparkSession, similarity
-    bound_batches(spark, ROWS)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keys = materialize(_sizes(docs, width), "keys")
     classes = materialize(
-        keys.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("n_shingles").alias("n"), (F.min("fp_check") != F.max("fp_check")).alias("torn")),
+        keys.where("n_shingles > 0").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), (F.min("fp_check") != F.max("fp_check")).alias("torn")),
         "classes",
     )
     common = _common(docs, keys.count(), width, t100)
     index = _postings(docs, common, width, t100).repartition("token").sortWithinPartitions("token", "place", "fp")
     lists = materialize(index.mapInArrow(lambda batches: _shared(batches, t100), "token bigint, fp bigint, place bigint, leader bigint"), "lists")
     release(spark)
-    wanted = materialize(lists.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")), "wanted")
-    sets = materialize(_sets(docs, wanted, width), "sets")
 
-    members = materialize(_hubs(lists), "hubs")
-    entries = lists.join(members, "fp").select("token", "place", "fp", "hub").repartition("token").sortWithinPartitions("token", "place", "fp")
-    met = entries.mapInArrow(lambda batches: _hub_pairs(batches, t100), "a bigint, b bigint").distinct()
-    met = materialize(_sized(met, members), "met")
+    entries = lists.join(_hubs(lists), "fp").select("token", "place", "fp", "hub", "members").repartition("token").sortWithinPartitions("token", "place", "fp")
+    met = entries.mapInArrow(lambda batches: _met(batches, t100), "key bigint, fp bigint, n bigint, guest boolean, lists bigint, need bigint, near boolean")
+    met = met.groupBy("key", "fp").agg(F.max("n").alias("n"), F.max("guest").alias("guest"), F.sum("lists").alias("lists"), F.min("need").alias("need"), F.max("near").alias("near"))
+    rows = materialize(met.where("near AND lists >= need").select("key", "fp", "n", "guest"), "rows")
+    discard(lists)
     release(spark)
-    few = F.expr(_FEW)
-    side = lambda k: members.select(F.col("hub").alias(k), F.col("fp").alias(f"f{k}"))
-    pairs = met.where(few).select("a", "b").join(side("a"), "a").join(side("b"), "b").where("fa <> fb")
-    pairs = pairs.select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct()
-    close = _close(pairs, sets, t100)
-    copies = classes.select("fp", "copies")
-    first = materialize(_exact(close, sets).where(_linked(t100)).select("a", "b"), "first")
-    release(spark)
-    second = materialize(_grouped(met.where(~few), members, sets, copies, t100), "second")
+
+    wanted = materialize(rows.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")), "wanted")
+    links = materialize(_linked(rows, _sets(docs, wanted, width), classes.select("fp", "copies"), t100), "links")
+    discard(rows, wanted)
     release(spark)
-    joined = materialize(connected_components(first.unionByName(second.where("b IS NOT NULL").select("a", "b"))), "joined")
-    ends = first.select(F.inline(F.array(F.struct(F.col("a").alias("fp"), F.col("b").alias("other")), F.struct(F.col("b").alias("fp"), F.col("a").alias("other")))))
-    ends = ends.join(copies.select(F.col("fp").alias("other"), F.col("copies").alias("links")), "other").select("fp", "links")
-    degree = ends.unionByName(second.where("b IS NULL").select(F.col("a").alias("fp"), "links")).groupBy("fp").agg(F.sum("links").alias("links"))
+    joined = connected_components(links.where("b IS NOT NULL").select("a", "b"))
+    degree = links.where("b IS NULL").groupBy(F.col("a").alias("fp")).agg(F.sum("links").alias("links"))
     named = classes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(least, "component").join(degree, "fp", "left").select("fp", "component_id", "copies", F.coalesce("links", F.lit(0)).alias("links"), "torn")
     named = materialize(named, "named")
+    discard(classes, links, joined)
     if named.where("torn").limit(1).count():
         raise ValueError("two different sets share a 64-bit hash: change the constants in shingles.py")
     held = keys.where("n_shingles > 0").join(named, "fp").select("doc_id", "n_shingles", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links"))

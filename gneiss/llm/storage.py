@@ -46,7 +46,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._written = path  # for discard()
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the files of materialized frames that no later plan reads."""
+    for df in frames:
+        spark = df.sparkSession
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._written)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shielded(docs: DataFrame, used: tuple[str, ...], work) -> DataFrame:
