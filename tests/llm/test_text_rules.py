@@ -53,6 +53,58 @@ def test_marks_inside_an_article():
     assert got.split("\n")[1:] == ["Related, but part.", "Past, but part."]
 
 
+@pytest.mark.parametrize("mark", ["site-content has-sidebar", "col no-sidebar", "entry related-content", "search-results", "post-comments-open", "search-algorithms", "share-price-analysis"])
+@pytest.mark.parametrize("outer", ["div", "article", "main"])
+def test_mark_words_on_containers(mark, outer):
+    page = f'<body><div class="menu"><a href=1>One</a></div><{outer} class="{mark}"><h1>Head, of it.</h1><div class="{mark}"><p>{LONG}</p><p>Short, at last.</p></div></{outer}><div class="ad">Buy, now.</div></body>'
+    assert html.main_text(page) == "\n".join(["Head, of it.", LONG.strip(), "Short, at last."])
+
+
+def test_marked_prose_is_weighed():
+    """The thresholds decide: the same marked element is content where its text is rich, and none where it is poor."""
+    page = "<body><article><h1>Head</h1><p>A few words, here.</p><div class=related><p>{}</p></div></article></body>"
+    assert html.main_text(page.format("More, here.")) == "Head\nA few words, here."
+    assert html.main_text(page.format(LONG)) == "Head\nA few words, here.\n" + LONG.strip()
+
+
+def test_empty_article():
+    assert html.main_text("<body><div class=ad>Buy now, it is cheap.</div><article></article><footer>x</footer></body>") == ""
+
+
+def naive_paths(found, weight):
+    """The paths' scores by their definition, block by block."""
+    chosen = {}
+    n = len(found)
+    ratio = lambda k, b: sum((len(x.text) - x.linked, sum(c in ".,;:!?…，。、！？；：«»" for c in x.text))[k] for x in found if x.path == b.path) / sum(x.path == b.path for x in found)
+    kernel = {d: 2.718281828459045 ** (-d * d / 2) for d in range(-html.RADIUS, html.RADIUS + 1)}
+
+    def smooth(k, i):
+        near = [(w, ratio(k, found[i + d])) for d, w in kernel.items() if 0 <= i + d < n]
+        return min(sum(w * x for w, x in near) / sum(w for w, _ in near), 2 * ratio(k, found[i]))
+
+    fused = [smooth(0, i) * (smooth(1, i) + 0.1) * weight[i] for i in range(n)]
+    deviation = (sum((x - sum(fused) / n) ** 2 for x in fused) / n) ** 0.5
+    for p in {b.path for b in found}:
+        own = [x for x, b in zip(fused, found, strict=True) if b.path == p]
+        chosen[p] = sum(own) / len(own)
+    best = max(chosen.values())
+    return {p for p, x in chosen.items() if x >= min(best, max(html.DEVIATIONS * deviation, html.SHARE * best)) * (1 - 1e-12)}
+
+
+def test_thresholds_decide(data, monkeypatch):
+    """Paths as by their definition; without the thresholds adverts get into the text of every generated page that has one."""
+    import pyarrow.parquet as pq
+
+    pages = [x for x in pq.read_table(f"{data}/pages.parquet").column("html").to_pylist() if x]
+    for page in (html.read(x) for x in [*pages[:20], PAGE]):
+        weight = [1.0 + b.element % 3 for b in page.blocks]
+        assert html.content_paths(page.blocks, weight) == naive_paths(page.blocks, weight)
+    texts = [html.main_text(x) for x in pages]
+    monkeypatch.setattr(html, "content_paths", lambda found, weight: {b.path for b in found})
+    other = [html.main_text(x) for x in pages]
+    assert sum(a != b for a, b in zip(texts, other, strict=True)) > 0.9 * sum('class="ad"' in x for x in pages) > 0
+
+
 def test_odd_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<p></p>") == ""
     assert html.main_text("a < b & c") == "a < b & c"
