@@ -1,18 +1,20 @@
 """Language identification by multilingual mixture inference.
 
-A language is a distribution over letter trigrams (64 symbols: space, a-z, and the bytes of other
-letters in 37 cells), learned from all labelled texts.  A document is a mixture: expectation-
+A language is a distribution over letter trigrams (64 symbols: space for all that is no letter, a-z, and
+the bytes of other letters in 37 cells), learned from all labelled texts.  A document is a mixture: expectation-
 maximisation over its trigrams estimates the proportion of every language, and the number of
 languages is chosen by likelihood less ``PENALTY`` * log(trigrams) for each language beyond the first,
 adding the next largest proportion as long as that pays.
 
-Defined results: null texts and texts without a letter are und with score 0, and so is any text where
-nothing was learned; ties go to the language that sorts first; equal rows give equal rows; an empty
+Defined results: null texts and texts without a letter (of any script) are und with score 0, and so is any
+text where nothing was learned; a text that has letters, but no two of them in three characters, is judged by
+single letters; ties go to the language that sorts first; equal rows give equal rows; an empty
 table gives no rows; other columns than the named ones are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,15 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gneiss.llm.shingles import slices, text_buffer
-from gneiss.llm.storage import bound_batches
 
+#: More languages than this are an error: the driver holds a row of CELLS numbers for each.
+LANGUAGES = 500
 SYMBOLS = 64
 CELLS = SYMBOLS**3
 PENALTY, ROUNDS, SMOOTH = 4.0, 8, 0.2
 #: Trigrams overlap: each counts as a third of an observation.
 WEIGHT = 1 / 3
 
-_SYMBOL = np.zeros(256, dtype=np.int64)
+_SYMBOL = np.zeros(256, dtype=np.uint8)
 for _b in range(256):
     if 97 <= _b <= 122 or 65 <= _b <= 90:
         _SYMBOL[_b] = (_b | 32) - 96
@@ -37,25 +40,44 @@ for _b in range(256):
         _SYMBOL[_b] = 27 + _b % 37
 
 
+#: Characters beyond ASCII that are no letters.
+_OTHER = re.compile(r"(?![\x00-\x7f])[\W\d_]")
+
+
+def _lowered(text: str | None) -> str:
+    text = (text or "").lower()
+    return text if text.isascii() else _OTHER.sub(" ", text)
+
+
 def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Row and cell of every trigram with two letters at least; a space stands around every row."""
-    lowered = pa.array([None if t is None else t.lower() for t in column.to_pylist()], pa.string())
-    data, offsets = text_buffer(lowered)
+    """Row and cell of every trigram with two letters at least, or one in rows with none such; a space stands around every row."""
+    data, offsets = text_buffer(pa.array([_lowered(t) for t in column.to_pylist()], pa.string()))
     rows = len(offsets) - 1
     size = np.diff(offsets) + 2
     ends = np.cumsum(size)
-    symbols = np.zeros(int(ends[-1]) if rows else 0, dtype=np.int64)
-    row = np.repeat(np.arange(rows), size)
+    symbols = np.zeros(int(ends[-1]) if rows else 0, dtype=np.uint8)
     inner = np.ones(len(symbols), bool)
     inner[ends - 1] = False
     inner[ends - size] = False
     symbols[inner] = _SYMBOL[data]
     if len(symbols) < 3:
-        return row[:0], symbols[:0]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     letters = (symbols > 0).astype(np.int8)
-    ok = (row[2:] == row[:-2]) & (letters[2:] + letters[1:-1] + letters[:-2] >= 2)
-    cell = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:]
-    return row[:-2][ok], cell[ok]
+    letters = letters[2:] + letters[1:-1] + letters[:-2]
+    inside = np.ones(len(symbols), bool)  # a trigram ends before its row does
+    inside[ends - 1] = inside[ends - 2] = False
+    at = np.flatnonzero(inside[:-2] & (letters >= 2))
+    row = np.searchsorted(ends, at, side="right")
+    poor = np.ones(rows, bool)
+    poor[row] = False
+    if poor.any():
+        more = np.flatnonzero(inside[:-2] & (letters == 1))
+        own = np.searchsorted(ends, more, side="right")
+        at, row = np.concatenate([at, more[poor[own]]]), np.concatenate([row, own[poor[own]]])
+        order = np.argsort(row, kind="stable")
+        at, row = at[order], row[order]
+    own = symbols.astype(np.int32)
+    return row, ((own[at] * SYMBOLS + own[at + 1]) * SYMBOLS + own[at + 2]).astype(np.int64)
 
 
 @dataclass
@@ -71,7 +93,6 @@ def learn(labelled: DataFrame, smooth: float = SMOOTH) -> Model:
 
     Counts are summed on the executors; the driver gets one number for each cell and language.
     """
-    bound_batches(labelled.sparkSession)
     labelled = labelled.where("lang IS NOT NULL").select(F.col("text").cast("string").alias("text"), "lang")
 
     def run(batches):
@@ -93,6 +114,8 @@ def learn(labelled: DataFrame, smooth: float = SMOOTH) -> Model:
     rows = labelled.mapInArrow(run, "lang string, cell bigint, n bigint").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toArrow()
     lang, cell, n = (rows.column(k).to_pylist() for k in range(3))
     languages = sorted(set(lang))
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"{len(languages)} languages; the model is made for {LANGUAGES} at most")
     table = np.full((CELLS, len(languages)), smooth)
     at = {name: k for k, name in enumerate(languages)}
     if languages:
@@ -135,7 +158,7 @@ def infer(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.nda
     certain = np.exp(single - value[:, None])
     certain = 1 / certain.sum(axis=1)  # of the best language, if there is but one
     order = np.argsort(-full, axis=1, kind="stable")
-    live = np.flatnonzero(np.take_along_axis(full, order[:, 1:2], axis=1)[:, 0] > 0.02) if languages > 1 else np.zeros(0, int)
+    live = np.arange(len(held))
     for k in range(2, languages + 1):
         if not len(live):
             break
@@ -159,7 +182,6 @@ def infer(column: pa.Array, model: Model) -> tuple[list[str], np.ndarray, np.nda
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred, score and shares (language -> proportion of the chosen set); columns of these names go."""
-    bound_batches(docs.sparkSession)
     docs = docs.drop("lang_pred", "score", "shares")
     sent = docs.sparkSession.sparkContext.broadcast(model)
     # working names that no column of the table has
