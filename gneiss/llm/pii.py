@@ -85,6 +85,31 @@ FEATURES = {
 }
 
 
+_SPANS = "ARRAY<STRUCT<kind: STRING, start: INT, stop: INT, m: STRING, l: STRING, r: STRING>>"
+
+
+def _blocks(array: str, block: str) -> str:
+    """SQL of about as many blocks (``block`` of their number k and length {step}) as each has items.
+
+    A list that grows is copied at each step; with blocks, n items cost n times the root of n.
+    """
+    step = f"CAST(ceil(sqrt(size({array}))) AS INT)"
+    return f"transform(sequence(0, CAST(ceil(size({array}) / {step}) AS INT) - 1), k -> {block.format(step=step)})"
+
+
+def _placed(kind: str) -> str:
+    """SQL of the matches of a kind with their places: lengths are summed within blocks, then over blocks.
+
+    l and r are what stands before and behind: the last match and the text after it, and the text up to the next.
+    """
+    before, own = f"length(get(__s_{kind}, i))", f"length(get(__m_{kind}, i))"
+    left = f"right(concat(coalesce(get(__m_{kind}, i - 1), ''), get(__s_{kind}, i)), {CONTEXT})"
+    span = f"struct('{kind}' AS kind, a.p + {before} AS start, a.p + {before} + {own} AS stop, get(__m_{kind}, i) AS m, {left} AS l, left(get(__s_{kind}, i + 1), {CONTEXT}) AS r)"
+    inner = f"aggregate(sequence(k * {{step}}, least(size(__m_{kind}), (k + 1) * {{step}}) - 1), struct(0 AS p, CAST(array() AS {_SPANS}) AS o), (a, i) -> struct(a.p + {before} + {own} AS p, array_append(a.o, {span}) AS o))"
+    outer = f"aggregate({_blocks(f'__m_{kind}', inner)}, struct(0 AS p, CAST(array() AS ARRAY<STRUCT<at: INT, o: {_SPANS}>>) AS o), (a, x) -> struct(a.p + x.p AS p, array_append(a.o, struct(a.p AS at, x.o AS o)) AS o)).o"
+    return f"flatten(transform({outer}, z -> transform(z.o, y -> struct(y.kind, y.start + z.at AS start, y.stop + z.at AS stop, y.m, y.l, y.r))))"
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """``docs`` with __base (spans of each base kind that hold) and __more (other candidates with votes and features)."""
     e = F.expr
@@ -101,21 +126,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     out = out.withColumns(parts)
     # pieces are cut out only where something was found
     out = out.withColumns({f"__s_{kind}": e(f"CASE WHEN size(__m_{kind}) > 0 THEN split(__text, {_sql(pattern)}, -1) END") for kind, pattern in patterns.items()})
-    empty = "CAST(array() AS ARRAY<STRUCT<kind: STRING, start: INT, stop: INT, m: STRING>>)"
-    spans = {}
-    for kind in patterns:
-        step = f"struct(a.p + length(get(__s_{kind}, i)) + length(get(__m_{kind}, i)) AS p, array_append(a.o, struct('{kind}' AS kind, a.p + length(get(__s_{kind}, i)) AS start, a.p + length(get(__s_{kind}, i)) + length(get(__m_{kind}, i)) AS stop, get(__m_{kind}, i) AS m)) AS o)"
-        found = f"aggregate(sequence(0, size(__m_{kind}) - 1), struct(0 AS p, {empty} AS o), (a, i) -> {step}).o"
-        spans[f"__x_{kind}"] = e(f"CASE WHEN size(__m_{kind}) > 0 THEN filter({found}, x -> {_valid(kind, 'x.m')}) ELSE {empty} END")
+    spans = {f"__x_{kind}": e(f"CASE WHEN size(__m_{kind}) > 0 THEN filter({_placed(kind)}, x -> {_valid(kind, 'x.m')}) ELSE CAST(array() AS {_SPANS}) END") for kind in patterns}
     out = out.withColumns(spans)
-    out = out.withColumn("__base", e("concat(" + ", ".join(f"__x_{k}" for k in BASE) + ")"))
-    loose = "concat(" + ", ".join(f"__x_{k}" for k in ADDED) + ")"
-    out = out.withColumn("__more", e(f"filter({loose}, x -> NOT exists(__base, b -> b.start < x.stop AND x.start < b.stop AND NOT (x.kind = 'secret' AND x.start <= b.start AND b.stop <= x.stop AND x.stop - x.start > b.stop - b.start)))"))
-    out = out.withColumn("__more", e(f"transform(__more, x -> struct(x.kind, x.start, x.stop, x.m, substring(__text, greatest(1, x.start + 1 - {CONTEXT}), least(x.start, {CONTEXT})) AS l, substring(__text, x.stop + 1, {CONTEXT}) AS r))"))
+    out = out.withColumn("__base", e("transform(concat(" + ", ".join(f"__x_{k}" for k in BASE) + "), x -> struct(x.kind, x.start, x.stop))"))
+    out = out.withColumn("__more", e("concat(" + ", ".join(f"__x_{k}" for k in ADDED) + ")"))
+    near = _blocks("__sorted", "transform(slice(__sorted, k * {step} + 1, {step}), y -> y)")
+    out = out.withColumn("__sorted", e("array_sort(transform(__base, x -> struct(x.start, x.stop)))"))
+    out = out.withColumn("__near", e(f"CASE WHEN size(__sorted) > 0 THEN transform({near}, z -> struct(get(z, 0).start AS lo, array_max(transform(z, y -> y.stop)) AS hi, z AS items)) END"))
+    out = fence(out, ["__base", "__more", "__near"])
+    meets = "b.start < x.stop AND x.start < b.stop AND NOT (x.kind = 'secret' AND x.start <= b.start AND b.stop <= x.stop AND x.stop - x.start > b.stop - b.start)"
+    out = out.withColumn("__more", e(f"filter(__more, x -> __near IS NULL OR NOT exists(__near, z -> z.lo < x.stop AND x.start < z.hi AND exists(z.items, b -> {meets})))"))
     votes = ", ".join(f"CAST({v} AS INT)" for v in LABELERS.values())
     marks = ", ".join(f"concat('{k}=', CAST({v} AS STRING))" for k, v in FEATURES.items())
     out = out.withColumn("__more", e(f"transform(__more, x -> struct(x.kind, x.start, x.stop, array({votes}) AS votes, array({marks}) AS marks))"))
-    out = out.withColumn("__base", e("transform(__base, x -> struct(x.kind, x.start, x.stop))"))
     return fence(out.select(*[F.col(f"`{c}`") for c in docs.columns], "__base", "__more"), ["__base", "__more"])
 
 
@@ -210,10 +233,12 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def work(own: DataFrame) -> DataFrame:
         out = decide(candidates(own), weights)
-        # overlapping spans are one cut, named after the first
-        out = out.withColumn("__cuts", F.expr("aggregate(spans, CAST(array() AS ARRAY<STRUCT<kind: STRING, start: INT, stop: INT>>), (a, x) -> CASE WHEN size(a) > 0 AND element_at(a, -1).stop > x.start THEN concat(slice(a, 1, size(a) - 1), array(struct(element_at(a, -1).kind AS kind, element_at(a, -1).start AS start, greatest(element_at(a, -1).stop, x.stop) AS stop))) ELSE array_append(a, x) END)"))
-        text = "CASE WHEN size(__cuts) = 0 THEN text ELSE concat(aggregate(__cuts, struct('' AS t, 0 AS p), (a, x) -> struct(concat(a.t, substring(text, a.p + 1, x.start - a.p), '<', x.kind, '>') AS t, x.stop AS p)).t, substring(text, element_at(__cuts, -1).stop + 1)) END"
-        out = out.withColumn("text", F.expr(text))
+        # overlapping spans are one cut, named after the first; blocks of spans keep the pieces short that are cut from
+        parts = _blocks("spans", "struct(slice(spans, k * {step} + 1, {step}) AS items, get(spans, k * {step}).start AS lo, coalesce(get(spans, (k + 1) * {step}).start, length(text)) AS hi)")
+        parts = f"transform({parts}, z -> struct(z.items, z.lo, z.hi, substring(text, z.lo + 1, z.hi - z.lo) AS t))"
+        inner = "aggregate(z.items, struct('' AS t, a.p AS p), (c, x) -> IF(x.start < c.p, struct(c.t AS t, greatest(c.p, x.stop) AS p), struct(concat(c.t, substring(z.t, c.p - z.lo + 1, x.start - c.p), '<', x.kind, '>') AS t, x.stop AS p)), c -> struct(concat(c.t, IF(c.p < z.hi, substring(z.t, c.p - z.lo + 1, z.hi - c.p), '')) AS t, greatest(c.p, z.hi) AS p))"
+        whole = f"aggregate({parts}, struct(substring(text, 1, get(spans, 0).start) AS t, get(spans, 0).start AS p), (a, z) -> struct(concat(a.t, {inner}.t) AS t, {inner}.p AS p)).t"
+        out = fence(out, ["spans"]).withColumn("text", F.expr(f"CASE WHEN size(spans) = 0 THEN text ELSE {whole} END"))
         return out.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in own.columns else out
 
     return shielded(docs, ("text", "n_chars"), work)
