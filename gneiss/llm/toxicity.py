@@ -10,17 +10,17 @@ the events on its path.  A document's clause scores are the features of a logist
 Insults are learned: words, and stems (the first ``STEMS`` letters of longer words, written with *),
 of toxic sample documents that occur there in at least ``CONTEXTS`` different surroundings (so that
 copies of one text don't teach its rare words), with the log-odds of toxic documents as weights.  The
-sample has at most about ``SAMPLE`` labelled rows, chosen by a hash of the id; the lexicon has at
-most ``LEXICON`` entries.
+sample has at most about ``SAMPLE`` labelled rows, chosen by a hash of the id, and bounds the lexicon.
 
-Defined results: null and empty texts have no clause and the score of a text without a match; equal
-rows give equal rows; an empty table gives no rows; without labels every score is 0; other columns
+Defined results: null and empty texts have no clause and the score of a text without a match; of words that
+begin at one place the automaton's first counts; equal rows give equal rows; an empty table gives no rows; without labels every score is 0; other columns
 than the named ones are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -29,9 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gneiss.llm.storage import bound_batches, materialize
+from gneiss.llm.shingles import texts
+from gneiss.llm.storage import materialize
 
-SAMPLE, LEXICON, CONTEXTS, LEAST_ODDS = 20_000, 2_000, 8, 2.0
+SAMPLE, CONTEXTS, LEAST_ODDS = 20_000, 8, 2.0
 STEMS = (4, 5, 6)
 
 THREATS = set("kill murder hurt beat stab shoot burn destroy attack punch strangle hang bomb rape crush töten schlagen umbringen verletzen tuer tuerai frapper blesser matar golpear herir destruir".split())
@@ -145,13 +146,17 @@ class Matcher:
         """FEATURES of a text."""
         low = text.lower()
         spans: list[tuple[int, int]] = []
+        edges = None
         for end, (n, stem) in self.find.iter(low):
             a, b = end + 1 - n, end + 1
             if (a and low[a - 1].isalpha()) or (not stem and b < len(low) and low[b].isalpha()):
                 continue
             if spans and a < spans[-1][1]:
                 continue
-            spans.append(self._clause(low, a, b))
+            if edges is None:  # ends and starts of what parts clauses, with the text's own
+                parted = [m.span() for m in _CLAUSE.finditer(low)]
+                edges = [0, *(e for _, e in parted)], [*(s for s, _ in parted), len(low)]
+            spans.append((edges[0][bisect_right(edges[0], a) - 1], edges[1][bisect_left(edges[1], b)]))
         out = [0.0] * len(FEATURES)
         for a, b in spans:
             score, aimed, threat, soft, hits = self._read(low[a:b])
@@ -166,12 +171,6 @@ class Matcher:
         out[7] = float(out[7] >= 2)
         return [np.log1p(x) if k in (0, 1, 2, 4, 5) else x for k, x in enumerate(out)]
 
-    @staticmethod
-    def _clause(low: str, a: int, b: int) -> tuple[int, int]:
-        start = max(low.rfind(c, 0, a) for c in ".!?;\n\r") + 1
-        stop = _CLAUSE.search(low, b)
-        return start, stop.start() if stop else len(low)
-
     def _read(self, clause: str) -> tuple[float, int, int, int, int]:
         state, score, weight, aimed, threat, soft, hits = 0, 0.0, 0.0, 0, 0, 0, 0
         for word in _WORD.findall(clause):
@@ -228,10 +227,9 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> D
 
 def learn(sample: DataFrame) -> Model:
     """The lexicon and the weights from ``sample`` (text, toxic)."""
-    bound_batches(sample.sparkSession)
 
     def surroundings(batches):
-        for batch in batches:
+        for batch in texts(batches, at=0):
             words, around = [], []
             for text in batch.column(0).to_pylist():
                 own = ["", *_WORD.findall((text or "").lower()), ""]
@@ -241,12 +239,12 @@ def learn(sample: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(around, pa.string())], ["word", "around"])
 
     toxic = sample.where("toxic = 1").select("text").mapInArrow(surroundings, "word string, around string")
-    found = toxic.groupBy("word").agg(F.count_distinct("around").alias("n")).where(F.col("n") >= CONTEXTS).orderBy(F.desc("n"), "word").limit(10 * LEXICON)
+    found = toxic.groupBy("word").agg(F.count_distinct("around").alias("n")).where(F.col("n") >= CONTEXTS)
     candidates = {r[0] for r in found.collect()}
 
     def presence(batches):
         total = {}
-        for batch in batches:
+        for batch in texts(batches, at=0):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for w in candidates.intersection(f for w in set(_WORD.findall((text or "").lower())) for f in forms(w)) | {""}:
                     total[w, label] = total.get((w, label), 0) + 1
@@ -259,11 +257,11 @@ def learn(sample: DataFrame) -> Model:
     if not yes:
         return Model({}, [-30.0] + [0.0] * len(FEATURES))
     odds = {w: np.log((b + 0.5) / (yes + 1)) - np.log((a + 0.5) / (no + 1)) for w, (a, b) in counts.items() if b >= CONTEXTS}
-    lexicon = {w: float(min(x, 6)) for w, x in sorted(odds.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if x >= LEAST_ODDS}
+    lexicon = {w: float(min(x, 6)) for w, x in sorted(odds.items()) if x >= LEAST_ODDS}
 
     def measured(batches):
         matcher = Matcher(lexicon)
-        for batch in batches:
+        for batch in texts(batches, at=0):
             own = [matcher.features(t or "") for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.list_(pa.float64())), batch.column(1)], ["x", "toxic"])
 
@@ -285,12 +283,11 @@ def learn(sample: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and predicted of every text."""
-    bound_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
 
     def run(batches):
         matcher, w = Matcher(model.lexicon), np.array(model.weights)
-        for batch in batches:
+        for batch in texts(batches):
             x = np.array([matcher.features(t or "") for t in batch.column(1).to_pylist()]).reshape(-1, len(FEATURES))
             p = _sigmoid(x @ w[1:] + w[0])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(p), pa.array((p >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
