@@ -10,8 +10,8 @@ The rates of blocked urls under a host's last label and under a path's first seg
 each labelled value has its smoothed rate in a table that is joined, and others take the overall rate.
 
 Defined results: a null url, or one without ://, has an empty host and path, fits no rule and gets
-the method's verdict on its features; without any labelled url the method allows; equal rows give
-equal rows; an empty table gives no rows; other columns don't matter.
+the method's verdict on its features; without any labelled url the method allows; of splits that gain
+equally the first feature's lowest bin is taken; equal rows give equal rows; an empty table gives no rows; other columns don't matter.
 """
 
 from __future__ import annotations
@@ -27,7 +27,6 @@ from gneiss.llm.storage import materialize
 #: (verdict, rule) as the query uses them.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 TREES, RATE = 10, 0.4
-_ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789./-_?=&%#:"
 
 
 def host_path(url: str = "url") -> tuple[Column, Column]:
@@ -50,13 +49,9 @@ def apply_rules(pages: DataFrame, rules=RULES) -> DataFrame:
 
 
 def _entropy(x: str) -> str:
-    """Bits per character of the lower-cased text over a fixed alphabet."""
-    n = f"greatest(length({x}), 1)"
-    terms = []
-    for c in _ALPHABET:
-        count = f"(length({x}) - length(replace({x}, '{c}', '')))"
-        terms.append(f"IF({count} > 0, -{count} / {n} * log2({count} / {n}), 0D)")
-    return " + ".join(terms)
+    """Bits per character of the text, over all characters that it has."""
+    share = f"((length({x}) - length(replace({x}, c, ''))) / length({x}))"
+    return f"aggregate(array_distinct(split({x}, '')), 0D, (a, c) -> IF(c = '', a, a - {share} * log2({share})))"
 
 
 #: Feature -> (SQL over url, lower, host, path, rate; upper edges of its bins but the last).
