@@ -30,6 +30,8 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gneiss.llm.shingles import texts
+
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "canvas", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var"}
@@ -306,9 +308,9 @@ def extract(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "html")
 
     def run(batches):
-        for batch in batches:
-            texts = [main_text(x.as_py()) for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        for batch in texts(batches, at=2):
+            found = [main_text(x.as_py()) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     kinds = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
     return pages.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars bigint")

@@ -109,10 +109,13 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
-def texts(batches, most: int = 1 << 20):
-    """Batches cut into parts whose second column, a text, has about ``most`` bytes, one row at least."""
+def texts(batches, most: int = 1 << 20, at: int = 1):
+    """Batches cut into parts whose column ``at``, texts or bytes, has about ``most`` bytes, one row at least.
+
+    Spark itself bounds the bytes of a batch; these parts bound what is made of it at once.
+    """
     for batch in batches:
-        for start, part in slices(batch.column(1), most):
+        for start, part in slices(batch.column(at), most):
             yield batch.slice(start, len(part))
 
 

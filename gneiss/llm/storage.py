@@ -16,13 +16,15 @@ _ROOTS: dict[str, str] = {}
 def shared_root(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``.
 
-    Where the session names no such folder (tests), a temporary one is set as the checkpoint folder.
+    Where a local session names no such folder (tests), a temporary one is set; on a cluster that is an error.
     The folder goes when the Python process ends.
     """
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
         base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not base:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the whole cluster shares")
             base = "file://" + tempfile.mkdtemp(prefix="gneiss-")
             spark.sparkContext.setCheckpointDir(base)
         _ROOTS[app] = f"{base.rstrip('/')}/gneiss-{app}"
@@ -80,8 +82,3 @@ def release(spark: SparkSession) -> None:
     """Let the driver find the shuffles that no plan needs any more, so that executors drop their files."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-
-
-def bound_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Rows in an Arrow batch from now on: few where rows are whole texts, for a Python worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +148,54 @@ def test_mixtures(spark, data):
     assert [got[k].lang_pred for k in (3, 4, 5)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_letters_of_any_script(spark, data):
+    """und exactly where no letter is."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = langid.learn(docs.select("text", "lang"))
+    with_letters = ["a", "x", "A 1 B", "é", "日", "1 ж 2", "ª", "a" * 5]
+    without = ["。。。。", "——— …", "123", "_", "\u0661\u0662", "\u20ac", " \n"]
+    names, score, _ = langid.infer(pa.array([*with_letters, *without]), model)
+    assert all(n in model.languages for n in names[: len(with_letters)]) and names[len(with_letters) :] == ["und"] * len(without)
+    assert (score[len(with_letters) :] == 0).all() and ((score >= 0) & (score <= 1)).all()
+
+
+def test_mixture_against_its_definition(spark, data):
+    """One text's chosen set and proportions, by plain loops over its trigrams."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    model = langid.learn(docs.select("text", "lang"))
+    long = {lang: " ".join(r.text for r in docs.where(F.col("lang") == lang).limit(3).collect())[:600] for lang in ("en", "de", "es")}
+    for text in (long["en"], long["en"] + " " + long["de"], long["en"] + " " + long["de"] + " " + long["es"], "a b", "Ein Satz"):
+        _, cell = langid.trigrams(pa.array([text]))
+        cells, count = np.unique(cell, return_counts=True)
+        weight = count * langid.WEIGHT
+
+        def em(languages, share, rounds):
+            for _ in range(rounds):
+                held = dict.fromkeys(languages, 0.0)
+                for c, w in zip(cells, weight, strict=True):
+                    parts = {k: model.table[c, k] * share[k] for k in languages}
+                    for k in languages:
+                        held[k] += w * parts[k] / sum(parts.values())
+                share = {k: x / weight.sum() for k, x in held.items()}
+            return share, sum(w * np.log(sum(model.table[c, k] * share[k] for k in languages)) for c, w in zip(cells, weight, strict=True))
+
+        every = list(range(len(model.languages)))
+        full, _ = em(every, dict.fromkeys(every, 1 / len(every)), langid.ROUNDS)
+        single = {k: sum(w * np.log(model.table[c, k]) for c, w in zip(cells, weight, strict=True)) for k in every}
+        best = max(every, key=lambda k: (single[k], -k))
+        chosen, value = {best: 1.0}, single[best]
+        order = sorted(every, key=lambda k: (-full[k], k))
+        for n in range(2, len(every) + 1):
+            begin = {k: max(full[k], 1e-3) for k in order[:n]}
+            share, likelihood = em(order[:n], {k: x / sum(begin.values()) for k, x in begin.items()}, langid.ROUNDS // 2)
+            worth = likelihood - langid.PENALTY * (n - 1) * np.log(weight.sum() + 1)
+            if worth <= value:
+                break
+            chosen, value = share, worth
+        _, _, shares = langid.infer(pa.array([text]), model)
+        assert np.allclose(shares[0], [chosen.get(k, 0) for k in every], atol=1e-9)
+
+
 def test_no_languages(spark):
     df = spark.createDataFrame([(1, "some text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in langid.identify_documents(df).collect()] == ["und"]
