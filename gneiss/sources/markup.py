@@ -1,102 +1,77 @@
-"""A small element tree for HTML, with the searches that the page parsers need."""
+"""A page as flat tables: texts in order, and elements with the span of texts that each holds."""
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+SILENT = {"script", "style"}
 
 
-class Element:
-    """A tag with its attributes, parent, and children (elements and texts)."""
-
-    __slots__ = ("name", "attributes", "parent", "children")
-
-    def __init__(self, name: str, attributes: dict[str, str], parent: Element | None):
-        self.name, self.attributes, self.parent, self.children = name, attributes, parent, []
-
-    @property
-    def classes(self) -> list[str]:
-        return self.attributes.get("class", "").split()
-
-    def walk(self):
-        """All elements below, in document order."""
-        stack = [iter(self.children)]
-        while stack:
-            for c in stack[-1]:
-                if isinstance(c, Element):
-                    yield c
-                    stack.append(iter(c.children))
-                    break
-            else:
-                stack.pop()
-
-    def texts(self):
-        """Texts below that aren't blank, in order; scripts and styles aside."""
-        stack = [iter(self.children)]
-        while stack:
-            for c in stack[-1]:
-                if isinstance(c, Element):
-                    if c.name not in ("script", "style"):
-                        stack.append(iter(c.children))
-                        break
-                elif c.strip():
-                    yield " ".join(c.split())
-            else:
-                stack.pop()
-
-    @property
-    def text(self) -> str:
-        return " ".join(self.texts())
-
-    def all(self, *names: str, **attributes) -> list[Element]:
-        """Elements below with one of the names."""
-        return [e for e in self.walk() if e.name in names]
-
-    def links(self) -> list[Element]:
-        """Anchors with an href."""
-        return [e for e in self.walk() if e.name == "a" and "href" in e.attributes]
-
-    def own(self, *names: str) -> list[Element]:
-        """Child elements with one of the names."""
-        return [c for c in self.children if isinstance(c, Element) and c.name in names]
-
-    def up(self, *names: str) -> Element | None:
-        """The nearest element around with one of the names."""
-        e = self.parent
-        while e is not None and e.name not in names:
-            e = e.parent
-        return e
-
-
-class _Builder(HTMLParser):
-    def __init__(self):
+class Page(HTMLParser):
+    """Parallel lists by element number (0 is the page): name, attributes, parent, and first and end of its texts."""
+
+    def __init__(self, html: str | None):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("", {}, None)
+        self.texts: list[str] = []
+        self.name, self.attributes, self.parent, self.first, self.end = [""], [{}], [0], [0], [0]
+        self._open = [0]
+        self.feed(html or "")
+        self.close()
+        for e in self._open:
+            self.end[e] = len(self.texts)
 
     def handle_starttag(self, tag, attrs):
-        e = Element(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(e)
+        self.name.append(tag)
+        self.attributes.append({k: v or "" for k, v in attrs})
+        self.parent.append(self._open[-1])
+        self.first.append(len(self.texts))
+        self.end.append(len(self.texts))
         if tag not in VOID:
-            self.at = e
+            self._open.append(len(self.name) - 1)
 
     def handle_startendtag(self, tag, attrs):
-        self.at.children.append(Element(tag, {k: v or "" for k, v in attrs}, self.at))
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self._open.pop()
 
     def handle_endtag(self, tag):
-        e = self.at
-        while e is not None and e.name != tag:
-            e = e.parent
-        if e is not None and e.parent is not None:
-            self.at = e.parent
+        at = next((k for k in range(len(self._open) - 1, 0, -1) if self.name[self._open[k]] == tag), None)
+        if at is not None:
+            for e in self._open[at:]:
+                self.end[e] = len(self.texts)
+            del self._open[at:]
 
     def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def tree(html: str | None) -> Element:
-    """The page's root; an empty one for no page."""
-    builder = _Builder()
-    builder.feed(html or "")
-    builder.close()
-    return builder.root
+        text = " ".join(data.split())
+        if text and self.name[self._open[-1]] not in SILENT:
+            self.texts.append(text)
+
+    def text(self, e: int = 0) -> str:
+        return " ".join(self.texts[self.first[e] : self.end[e]])
+
+    def classes(self, e: int) -> set[str]:
+        return set(self.attributes[e].get("class", "").split())
+
+    def around(self, e: int) -> list[int]:
+        """The elements around, innermost first, without the page itself."""
+        out = []
+        while self.parent[e]:
+            e = self.parent[e]
+            out.append(e)
+        return out
+
+    def named(self, *names: str) -> list[int]:
+        """Elements with one of the names, in order."""
+        return [e for e, n in enumerate(self.name) if n in names]
+
+    def links(self) -> list[int]:
+        """Anchors with an href, in order."""
+        return [e for e in self.named("a") if "href" in self.attributes[e]]
+
+    def children(self, *names: str) -> dict[int, list[int]]:
+        """Element to those directly in it that have one of the names."""
+        out: dict[int, list[int]] = {}
+        for e in self.named(*names):
+            out.setdefault(self.parent[e], []).append(e)
+        return out

@@ -12,14 +12,14 @@ from gneiss.streaming import incremental
 
 BASE = "https://portal.example"
 CATALOG = """<div><h2>Peraturan Perundang-undangan Pusat</h2><ul>
-<li><a href="/Search?jenis=8">Undang-Undang</a> <a href="/Search?jenis=8">1.927</a></li>
-<li><a href="/Search?jenis=36">Keputusan  Menteri</a> <a href="/Search?jenis=36">174</a></li>
+<li><a href="/Search?jenis=8">Undang-Undang</a> <a href="/Search?jenis=8">2.345</a></li>
+<li><a href="/Search?jenis=36">Keputusan  Menteri</a> <a href="/Search?jenis=36">86</a></li>
 <li><a href="/Search?jenis=300">Peraturan Daerah</a></li></ul></div><footer><a href="/About">9</a></footer>"""
 
 
 def test_catalog():
     got = regulations.catalog(CATALOG, "pusat", BASE)
-    assert [(t["type_id"], t["name"], t["reported_total"], t["classification"]) for t in got] == [("8", "Undang-Undang", 1927, "pusat"), ("36", "Keputusan Menteri", 174, "pusat"), ("300", "Peraturan Daerah", None, "daerah")]
+    assert [(t["type_id"], t["name"], t["reported_total"], t["classification"]) for t in got] == [("8", "Undang-Undang", 2345, "pusat"), ("36", "Keputusan Menteri", 86, "pusat"), ("300", "Peraturan Daerah", None, "daerah")]
     assert {t["classification"] for t in regulations.catalog(CATALOG, "lembaga", BASE)} == {"unresolved", "daerah"}
 
 
@@ -35,8 +35,8 @@ def pager(active, last, disabled=True):
 
 
 def test_results():
-    got = regulations.results(page([350096]), BASE)
-    assert [d["source_id"] for d in got["documents"]] == ["350096"] and got["has_more"] is None
+    got = regulations.results(page([510007]), BASE)
+    assert [d["source_id"] for d in got["documents"]] == ["510007"] and got["has_more"] is None
     for n, (following, more) in {1: (2, True), 3: (4, True), 5: (None, False)}.items():
         got = regulations.results(page([n + 10], pager(n, 5)), BASE, page_number=n)
         assert (got["next_page"], got["has_more"]) == (following, more)
@@ -48,7 +48,7 @@ def test_results():
 
 DETAIL = """<h1>Fallback</h1><div class="row"><div>Judul</div><div>UU Contoh</div></div><table><tr><th>Bentuk Singkat</th><td>UU</td></tr>
 <tr><th>Nomor</th><td>5</td></tr><tr><th>Tahun</th><td>2026</td></tr></table><dl><dt>Lokasi</dt><dd>Indonesia</dd></dl>
-<h4>Status</h4><ul><li><b>Mengubah</b> <a href="/Details/246523/x">UU 1</a></li></ul>
+<h4>Status</h4><ul><li><b>Mengubah</b> <a href="/Details/431122/x">UU 1</a></li></ul>
 <a href="/Read/1.pdf">Lihat</a><a href="/Download/7/a.pdf">Unduh</a><a href="/f?id=2">Download</a><a href="/Download/7/a.pdf">lagi</a><footer><p>Tahun</p><p>1999</p></footer>"""
 
 
@@ -58,7 +58,7 @@ def test_detail(spark):
     one = got[0]
     assert one.instrument.id == "ID:UU:2026:5" and one.title == "UU Contoh"
     assert one.file_urls == [f"{BASE}/Download/7/a.pdf", f"{BASE}/f?id=2"]
-    assert [(r.target_source_id, r.context_label) for r in one.references] == [("246523", "Mengubah")]
+    assert [(r.target_source_id, r.context_label) for r in one.references] == [("431122", "Mengubah")]
     assert got[1].instrument is None and got[2].instrument is None
 
 
