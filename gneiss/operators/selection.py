@@ -1,7 +1,7 @@
-"""Sequential selections on small candidate sets: coverage of tags, and audits by turns.
+"""Sequential selections on small candidate sets: coverage of targets, and audits by groups.
 
-Every step depends on what was chosen before, so these run in one task, on candidates that a window has
-cut to a few for each tag, stratum or class beforehand.
+Every step depends on what was chosen before, so these run in one task, on candidates that windows have
+cut beforehand to as many as the steps can ever look at.
 """
 
 from __future__ import annotations
@@ -10,49 +10,74 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The tags that a selection shows, in order, and then the types by their sizes.
+TAGS = ("diagram_candidate", "little_extracted_text", "numeric_table_candidate", "table_candidate", "article", "paragraph_number", "raster_selectable_text", "numbers")
+STRATA = tuple(f"{kind}/{size}" for kind in ("PMK", "PP") for size in ("small", "medium", "large"))
 
-def _hash(*columns: str):
-    return F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in columns]), 256)
 
+def _first(rows: DataFrame, by: list[str], order: list[str], most: int) -> DataFrame:
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__n") <= most).drop("__n")
 
-def cover(pages: DataFrame, tags: list[str], size: int, seed: str = "20261010") -> DataFrame:
-    """(sha256, page_number, reason): pages that cover the tags, then the strata, then more up to ``size``.
 
-    ``pages`` has sha256, page_number, stratum and tags.  A page of a document that isn't used yet is preferred;
-    ties go to the least seeded hash.  At most ``size`` candidates for each tag and stratum are looked at.
+def cover(pages: DataFrame, size: int, tags=TAGS, strata=STRATA) -> DataFrame:
+    """(sha256, page_number, target): a page for each tag, then for each stratum, then of documents in order, up to ``size``.
+
+    ``pages`` has sha256, page_number, stratum (type, year, size) and tags.  Each target takes a page that isn't
+    taken yet, whatever those before it have shown; a page of a document that isn't used yet comes first, then the
+    least (sha256, page_number).  What is left is filled with the first pages of unused documents (target null).
+    """
+    if size < 1:
+        raise ValueError("a selection has one page at least")
+    steps = [*tags, *strata]
+    own = F.concat(F.array_intersect("tags", F.array(*[F.lit(t) for t in tags])), F.array(F.concat_ws("/", F.get("stratum", F.lit(0)), F.get("stratum", F.lit(2)))))
+    named = pages.select("sha256", F.col("page_number").cast("int").alias("page_number"), F.explode(own).alias("target")).where(F.col("target").isin(*steps))
+    # at most ``size`` pages or documents are taken before a step, so it needs one more than these
+    page = _first(named, ["target"], ["sha256", "page_number"], size + 1)
+    document = _first(named.groupBy("target", "sha256").agg(F.min("page_number").alias("page_number")), ["target"], ["sha256"], size + 1)
+    rest = pages.groupBy("sha256").agg(F.min("page_number").cast("int").alias("page_number")).orderBy("sha256").limit(2 * size).withColumn("target", F.lit(None).cast("string"))
+    near = page.unionByName(document.select(*page.columns)).distinct().unionByName(rest.select(*page.columns))
+
+    def run(key, table):
+        queue: dict[str | None, list[tuple[str, int]]] = {}
+        for r in sorted(table.to_pylist(), key=lambda r: (r["sha256"], r["page_number"])):
+            queue.setdefault(r["target"], []).append((r["sha256"], r["page_number"]))
+        out: dict[tuple[str, int], str | None] = {}
+        for step in [*steps, *[None] * size]:
+            used = {sha for sha, _ in out}
+            free = [p for p in queue.get(step, []) if p not in out]
+            fresh = [p for p in free if p[0] not in used]
+            take = fresh or (free if step else [])
+            if take and len(out) < size:
+                out[take[0]] = step
+        rows = [{"sha256": sha, "page_number": n, "target": step} for (sha, n), step in out.items()]
+        return pa.Table.from_pylist(rows, pa.schema([("sha256", pa.string()), ("page_number", pa.int32()), ("target", pa.string())]))
+
+    return near.groupBy(F.lit(1).alias("one")).applyInArrow(run, "sha256 string, page_number int, target string")
+
+
+def by_groups(pages: DataFrame, most: int) -> DataFrame:
+    """``most`` pages for an audit (class_name, audit_group, sha256, page_number, place): the groups in order, no document twice.
+
+    Each group (class_name, audit_group) gives the first pages of as many documents as an even share of ``most``
+    allows, one at least, that no group before it gave; the list is cut at ``most``.
     """
-    hashed = pages.withColumn("h", F.sha2(F.concat_ws(":", F.lit(seed), "sha256", F.col("page_number").cast("string")), 256))
-    of = hashed.withColumn("why", F.explode(F.concat(F.array_intersect("tags", F.array(*[F.lit(t) for t in tags])), F.array(F.concat(F.lit("stratum:"), F.concat_ws("/", "stratum")), F.lit("fill")))))
-    per = of.withColumn("n", F.row_number().over(Window.partitionBy("why", "sha256").orderBy("h")))
-    near = per.withColumn("n", F.row_number().over(Window.partitionBy("why").orderBy("n", "h"))).where(F.col("n") <= 2 * size).select("why", "sha256", "page_number", "h")
+    keys = ["class_name", "audit_group"]
+    one = pages.groupBy(*keys, "sha256").agg(F.min("page_number").cast("int").alias("page_number"))
+    groups = one.select(*keys).distinct().count()
+    quota = max(1, most // max(1, groups))
+    near = _first(one, keys, ["sha256"], quota * max(1, groups))  # no more documents than that are given in all
 
     def run(key, table):
-        rows = sorted(table.to_pylist(), key=lambda r: (r["h"], r["sha256"], r["page_number"], r["why"]))
-        used, taken, out = set(), set(), []
-        strata = sorted({r["why"] for r in rows if r["why"].startswith("stratum:")})
-        for why in [*tags, *strata, *["fill"] * size]:
-            if len(out) >= size:
-                break
-            free = [r for r in rows if r["why"] == why and (r["sha256"], r["page_number"]) not in taken]
-            if why != "fill" and any(r["why"] == why and (r["sha256"], r["page_number"]) in taken for r in rows):
-                continue
-            best = next((r for r in free if r["sha256"] not in used), free[0] if free else None)
-            if best:
-                used.add(best["sha256"])
-                taken.add((best["sha256"], best["page_number"]))
-                out.append({"sha256": best["sha256"], "page_number": best["page_number"], "reason": why})
-        return pa.Table.from_pylist(out, pa.schema([("sha256", pa.string()), ("page_number", pa.int32()), ("reason", pa.string())]))
-
-    return near.groupBy(F.lit(1).alias("one")).applyInArrow(run, "sha256 string, page_number int, reason string")
-
-
-def by_turns(pages: DataFrame, classes: str, group: str, quota: int, seed: str = "20261010") -> DataFrame:
-    """Up to ``quota`` pages of each class, from its groups by turns, no document twice in a class; adds turn."""
-    h = F.sha2(F.concat_ws(":", F.lit(seed), "sha256", F.col("page_number").cast("string")), 256)
-    one = pages.withColumn("h", h).withColumn("n", F.row_number().over(Window.partitionBy(classes, "sha256").orderBy("h"))).where("n = 1")
-    turn = one.withColumn("turn", F.row_number().over(Window.partitionBy(classes, group).orderBy("h")))
-    chosen = turn.withColumn("n", F.row_number().over(Window.partitionBy(classes).orderBy("turn", group, "h"))).where(F.col("n") <= quota)
-    return chosen.drop("n", "h")
+        rows, seen, given = sorted(table.to_pylist(), key=lambda r: (r["class_name"], r["audit_group"], r["sha256"])), set(), {}
+        for r in rows:
+            group = given.setdefault((r["class_name"], r["audit_group"]), [])
+            if len(group) < quota and r["sha256"] not in seen:
+                seen.add(r["sha256"])
+                group.append(r)
+        chosen = [r for group in given.values() for r in group][:most]
+        return pa.Table.from_pylist([r | {"place": k} for k, r in enumerate(chosen)], pa.schema([("class_name", pa.string()), ("audit_group", pa.string()), ("sha256", pa.string()), ("page_number", pa.int32()), ("place", pa.int32())]))
+
+    return near.groupBy(F.lit(1).alias("one")).applyInArrow(run, "class_name string, audit_group string, sha256 string, page_number int, place int")
 
 
 def first_seen(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
