@@ -123,11 +123,14 @@ def whole_number(x: Column | str) -> Column:
     return F.try_to_number(F.nullif(F.regexp_replace(_c(x), r"[^0-9]", ""), F.lit("")), F.lit("9" * 18)).cast("bigint")
 
 
+#: Wordings of a page's total, the first that matches counts.
+TOTALS = (r"menemukan\s+([\d.,]+)\s+peraturan", r"([\d.,]+)\s+peraturan\s+ditemukan", r"([\d.,]+)\s+peraturan\b")
+
+
 def reported_total(x: Column | str) -> Column:
     """The number of results that a page states, by the first of three wordings that matches."""
     text = clean(x)
-    patterns = (r"(?i)menemukan\s+([\d.,]+)\s+peraturan", r"(?i)([\d.,]+)\s+peraturan\s+ditemukan", r"(?i)([\d.,]+)\s+peraturan\b")
-    return F.coalesce(*[whole_number(F.nullif(F.regexp_extract(text, p, 1), F.lit(""))) for p in patterns])
+    return F.coalesce(*[whole_number(F.nullif(F.regexp_extract(text, f"(?i){p}", 1), F.lit(""))) for p in TOTALS])
 
 
 def classification(group: Column | str) -> Column:
@@ -173,6 +176,7 @@ def content_tags(text: Column | str, coverage: Column | str, chars: Column | str
     """What a page seems to hold, from its text and the share that images cover; tags in a fixed order."""
     t, cover = _c(text), _c(coverage)
     n = ink(t) if chars is None else _c(chars)
+    # fixed values: names of tags and the words that call for them
     table = t.rlike(r"(?i)\b(tabel|tarif|kolom|lokasi|jumlah|satuan)\b")
     found = [
         ("raster_selectable_text", (cover >= 0.70) & (n >= 20)),

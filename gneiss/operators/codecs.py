@@ -168,12 +168,16 @@ def rollup(rows: DataFrame, *by: str) -> DataFrame:
         total("encode_seconds").alias("encode_seconds"),
         total("decode_seconds").alias("decode_seconds"),
         (F.max("peak_rss_bytes") if "peak_rss_bytes" in rows.columns else F.lit(None).cast("bigint")).alias("peak_rss_bytes"),
-        F.array_sort(F.collect_list(F.when(~good, F.struct("unit_id", "status")))).alias("failures"),
     )
     out = out.withColumns({"saving": V.saving("input_bytes", "output_bytes"), "encode_mib_s": V.throughput("input_bytes", "encode_seconds"), "decode_mib_s": V.throughput("input_bytes", "decode_seconds")})
     return out.join(states, list(by))
 
 
+def failing_units(rows: DataFrame, *by: str) -> DataFrame:
+    """The units whose trial failed or wasn't exact, as a table."""
+    return rows.where(~((F.col("status") == "ok") & F.coalesce(F.col("exact"), F.lit(False)))).select(*by, "unit_id", "status")
+
+
 def shard_gain(rolled: DataFrame) -> DataFrame:
     """Saving of shards less saving of single documents, by method, largest first."""
     a = rolled.where("mode = 'perdoc'").select("method", F.col("saving").alias("perdoc"))

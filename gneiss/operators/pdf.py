@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import values as V
+from gneiss.sources.workspace import written
 
 
 def coverage(rects: DataFrame, keys: list[str]) -> DataFrame:
@@ -83,24 +84,21 @@ def resolve_placements(placements: DataFrame, resources: DataFrame) -> DataFrame
     return joined.withColumn("state", state).withColumn("xref", F.when(F.col("state") == "resolved", F.col("xref")))
 
 
-def font_programs(references: DataFrame, fonts: DataFrame, most: int = 16) -> DataFrame:
+def font_programs(references: DataFrame, fonts: DataFrame) -> DataFrame:
     """(file_sha256, font, program) by following references from each font; a reference is followed once.
 
     ``references`` has file_sha256, xref, key and target; descriptors and descendants are followed, and a
-    FontFile key ends the search.
+    FontFile key ends the search.  It goes on until no font leads further, however long the chains are; each step
+    is a table of its own, so no step is done twice.
     """
-    from functools import reduce
-
     steps = references.where(F.col("key").isin("FontDescriptor", "DescendantFonts")).select("file_sha256", F.col("xref").alias("at"), "target")
     ends = references.where(F.col("key").isin("FontFile", "FontFile2", "FontFile3")).select("file_sha256", F.col("xref").alias("at"), F.col("target").alias("program"))
     reached = fonts.select("file_sha256", F.col("xref").alias("font"), F.col("xref").alias("at"), F.array("xref").alias("path"))
-    levels = [reached]
-    for _ in range(most):  # chains are short: font, descendant, descriptor; cycles end by the path
-        reached = reached.join(steps, ["file_sha256", "at"]).where(~F.array_contains("path", F.col("target"))).select("file_sha256", "font", F.col("target").alias("at"), F.array_append("path", F.col("target")).alias("path"))
-        levels.append(reached)
-        if len(levels) > 3 and not reached.limit(1).count():
-            break
-    every = reduce(lambda a, b: a.unionByName(b), levels)
+    reached = written(reached)
+    every = reached.select("file_sha256", "font", "at")
+    while reached.limit(1).count():  # cycles end by the path
+        reached = written(reached.join(steps, ["file_sha256", "at"]).where(~F.array_contains("path", F.col("target"))).select("file_sha256", "font", F.col("target").alias("at"), F.array_append("path", F.col("target")).alias("path")))
+        every = every.unionByName(reached.select("file_sha256", "font", "at"))
     return every.join(ends, ["file_sha256", "at"]).select("file_sha256", "font", "program").distinct()
 
 
@@ -127,7 +125,12 @@ def codec_family(objects: DataFrame) -> DataFrame:
 def cohort(rows: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row: outcomes of the chosen files only."""
     own = rows.join(chosen.select("sha256"), "sha256", "left_semi")
-    return own.agg(F.count("*").alias("selected"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") != "ok").alias("not_ok"), F.array_sort(F.collect_list(F.when(F.col("status") != "ok", F.col("sha256")))).alias("failures"))
+    return own.agg(F.count("*").alias("selected"), F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") != "ok").alias("not_ok"))
+
+
+def cohort_failures(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The chosen files that failed."""
+    return rows.where(F.col("status") != "ok").join(chosen.select("sha256"), "sha256", "left_semi").select("sha256")
 
 
 def isolate(df: DataFrame, work, schema: str, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import values as V
+from gneiss.sources.workspace import ranged
 
 PERCENTS = (10, 25, 50, 75, 90, 95, 99)
 
@@ -20,8 +21,10 @@ def distribution(x: Column | str, prefix: str = "") -> list[Column]:
     All but the count are null where there is no number.
     """
     v = F.when(V.finite(x), _c(x).cast("double"))
-    out = [F.count(v).alias(f"{prefix}count"), F.avg(v).alias(f"{prefix}mean"), F.percentile(v, F.lit(0.5)).alias(f"{prefix}median"), F.stddev_pop(v).alias(f"{prefix}stddev"), F.min(v).alias(f"{prefix}min"), F.max(v).alias(f"{prefix}max")]
-    return out + [F.percentile(v, F.lit(p / 100)).alias(f"{prefix}p{p}") for p in PERCENTS]
+    ranks = F.percentile(v, F.array(*[F.lit(p / 100) for p in (50, *PERCENTS)]))  # the same for all: sorted once
+    at = lambda k: F.get(ranks, F.lit(k))
+    out = [F.count(v).alias(f"{prefix}count"), F.avg(v).alias(f"{prefix}mean"), at(0).alias(f"{prefix}median"), F.stddev_pop(v).alias(f"{prefix}stddev"), F.min(v).alias(f"{prefix}min"), F.max(v).alias(f"{prefix}max")]
+    return out + [at(k + 1).alias(f"{prefix}p{p}") for k, p in enumerate(PERCENTS)]
 
 
 def distributions(df: DataFrame, x: str, *by: str) -> DataFrame:
@@ -54,9 +57,7 @@ def floor_stats(df: DataFrame, x: str) -> DataFrame:
     """
     counts = df.where(F.col(x).isNotNull()).groupBy(F.col(x).alias("v")).agg(F.count("*").alias("n"))
     # ranks need an order over all values: range partitions are summed first, then each ranks alone
-    parts = counts.repartitionByRange("v").withColumn("part", F.spark_partition_id())
-    offsets = parts.groupBy("part").agg(F.sum("n").alias("held"))
-    offsets = offsets.withColumn("before", F.coalesce(F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    parts, offsets = ranged(counts, "v", amount=F.sum("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.coalesce(F.sum(F.col("v") * F.col("n")), F.lit(0)).alias("sum"), F.max("v").alias("max"))
     upto = F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
     ranked = parts.join(F.broadcast(offsets), "part").withColumn("upto", upto)
@@ -71,12 +72,13 @@ def floor_stats(df: DataFrame, x: str) -> DataFrame:
 def top_share(df: DataFrame, x: str, key: str, percents=(1, 5, 10)) -> DataFrame:
     """One row for each percent p: the share of the sum that the largest ceil(n * p / 100) rows hold.
 
-    Only ranks up to the largest percent are needed, so the rows are cut by a threshold before they are ranked.
+    Only ranks up to the largest percent are needed, so the rows are cut by a threshold, and ranked by range partitions.
     """
     total = df.agg(F.count("*").alias("n"), F.sum(x).cast("double").alias("sum"))
     cut = df.agg(F.percentile_approx(x, F.lit(1 - max(percents) / 100 - 0.02), F.lit(10000)).alias("cut"))
     large = df.join(F.broadcast(cut)).where(F.col(x) >= F.coalesce("cut", F.col(x))).select(x, key)
-    ranked = large.withColumn("rank", F.row_number().over(Window.orderBy(F.desc(x), F.asc(key))))
+    parts, offsets = ranged(large, F.desc(x), F.asc(key), amount=F.count("*"))
+    ranked = parts.join(F.broadcast(offsets), "part").withColumn("rank", F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(F.desc(x), F.asc(key))))
     sums = ranked.join(F.broadcast(total)).groupBy("n", "sum").agg(*[F.sum(F.when(F.col("rank") <= F.ceil(F.col("n") * p / 100), F.col(x))).cast("double").alias(f"p{p}") for p in percents])
     return sums.select(F.inline(F.array(*[F.struct(F.lit(p).alias("percent"), V.ratio(f"p{p}", "sum").alias("share")) for p in percents])))
 
@@ -145,7 +147,7 @@ def percent_of_total(df: DataFrame, by: list[str], size: str, within: str | None
 
 
 def health(files: DataFrame) -> DataFrame:
-    """One row of corpus counters: profiled, successful, failed, encrypted, repaired, with warnings and metadata, slots, bytes, seconds, failures."""
+    """One row of corpus counters: profiled, successful, failed, encrypted, repaired, with warnings and metadata, slots, bytes, seconds."""
     ok = F.col("status") == "ok"
     return files.agg(
         F.count("*").alias("profiled"),
@@ -158,10 +160,14 @@ def health(files: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.when(ok, F.col("xref_unresolved"))), F.lit(0)).cast("bigint").alias("unresolved_slots"),
         F.coalesce(F.sum(F.when(ok, F.col("residual_file_bytes"))), F.lit(0)).cast("bigint").alias("residual_bytes"),
         F.coalesce(F.sum("profile_seconds"), F.lit(0.0)).alias("seconds"),
-        F.array_sort(F.collect_list(F.when(~ok, F.struct("sha256", "error")))).alias("failures"),
     )
 
 
+def failed_files(files: DataFrame) -> DataFrame:
+    """The files that failed, with their errors."""
+    return files.where(F.col("status") != "ok").select("sha256", "error")
+
+
 def tag_counts(df: DataFrame, tags: str) -> DataFrame:
     """How often each tag of an array column occurs."""
     return df.select(F.explode(tags).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gneiss.functions import text as T
+from gneiss.sources.workspace import ranged
 
 
 def payload_reason(content: Column, declared: Column, expected: Column) -> Column:
@@ -130,9 +131,7 @@ def within_budget(items: DataFrame, order: str, size: str, budget: int) -> DataF
 
     Running sums of range partitions are added to sums of their own rows: no task holds all rows.
     """
-    parts = items.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id())
-    sums = parts.groupBy("__part").agg(F.sum(size).alias("held"))
-    sums = sums.withColumn("__before", F.coalesce(F.sum("held").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("held")
+    parts, sums = ranged(items, F.col(order), amount=F.sum(size), part="__part", before="__before")
     running = F.col("__before") + F.sum(size).over(Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     return parts.join(F.broadcast(sums), "__part").withColumn("running", running.cast("bigint")).withColumn("fits", F.col("running") <= budget).drop("__part", "__before")
 

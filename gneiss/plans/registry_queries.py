@@ -428,7 +428,7 @@ def font_programs(t):
     steps = n.select(F.lit("f").alias("file_sha256"), at.alias("xref"), F.lit("FontDescriptor").alias("key"), ((at * 7 + 3) % 25).alias("target"))
     ends = n.where("n_nationkey % 4 = 0").select(F.lit("f").alias("file_sha256"), at.alias("xref"), F.lit("FontFile2").alias("key"), (at + 100).alias("target"))
     fonts = n.where("n_regionkey = 0").select(F.lit("f").alias("file_sha256"), at.alias("xref"))
-    return pdf.font_programs(steps.unionByName(ends), fonts, most=26).select("font", "program")
+    return pdf.font_programs(steps.unionByName(ends), fonts).select("font", "program")
 
 
 @query("""
@@ -458,26 +458,19 @@ def codec_by_doctype(t):
     return pdf.codec_by_type(objects, files)
 
 
-@query()
-def image_coverage(t):
-    """Union area of rectangles on pages."""
-    rects = t("lineitem").select(F.col("l_orderkey").alias("page"), F.lit(100.0).alias("width"), F.lit(100.0).alias("height"), (F.col("l_partkey") % 80).cast("double").alias("x0"), (F.col("l_suppkey") * 7 % 80).cast("double").alias("y0"), ((F.col("l_partkey") % 80) + F.col("l_quantity")).alias("x1"), ((F.col("l_suppkey") * 7 % 80) + F.col("l_quantity")).alias("y1"))
-    return pdf.coverage(rects, ["page"])
-
-
-@query("SELECT l_orderkey, count(DISTINCT l_partkey) FILTER (l_returnflag = 'R') AS images, count(DISTINCT l_partkey) FILTER (l_returnflag = 'A') AS fonts FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, count(DISTINCT l_suppkey % 5) AS placed, count(DISTINCT l_partkey) FILTER (l_returnflag = 'R') AS images, count(DISTINCT l_partkey) FILTER (l_returnflag = 'A') AS fonts FROM lineitem GROUP BY 1")
 def resource_counts(t):
     """Distinct resources of each file."""
     objects = t("lineitem").select(F.col("l_orderkey").alias("file_sha256"), F.col("l_partkey").alias("xref"), F.when(F.col("l_returnflag") == "R", "image").when(F.col("l_returnflag") == "A", "font").otherwise("other").alias("category"))
-    pages = t("orders").select(F.col("o_orderkey").alias("sha256"), F.array().cast("array<struct<xref:int>>").alias("images")).limit(0)
-    return pdf.resource_counts(pages, objects).select(F.col("file_sha256").alias("l_orderkey"), F.col("image_objects").alias("images"), F.col("font_objects").alias("fonts"))
+    pages = t("lineitem").groupBy(F.col("l_orderkey").alias("sha256"), "l_linestatus").agg(F.collect_list(F.struct((F.col("l_suppkey") % 5).cast("int").alias("xref"))).alias("images"))
+    return pdf.resource_counts(pages, objects).select(F.col("file_sha256").alias("l_orderkey"), F.col("image_resources").alias("placed"), F.col("image_objects").alias("images"), F.col("font_objects").alias("fonts"))
 
 
 @query("SELECT count(*) AS selected, count(*) FILTER (o_orderstatus = 'F') AS ok, count(*) FILTER (o_orderstatus <> 'F') AS not_ok FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 3)")
 def cohort_outcomes(t):
     """Outcomes of a chosen cohort."""
     rows = t("orders").select(F.col("o_orderkey").alias("sha256"), F.when(F.col("o_orderstatus") == "F", "ok").otherwise("failed").alias("status"))
-    return pdf.cohort(rows, t("lineitem").where("l_linenumber = 3").select(F.col("l_orderkey").alias("sha256"))).drop("failures")
+    return pdf.cohort(rows, t("lineitem").where("l_linenumber = 3").select(F.col("l_orderkey").alias("sha256")))
 
 
 @query("SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 3 = 0")
@@ -509,19 +502,24 @@ def ordered_distinct(t):
 
 
 @query("""
-SELECT l_returnflag, l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY turn, l_suppkey, h) AS q FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_suppkey ORDER BY h) AS turn FROM (
-  SELECT *, row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY h) AS n FROM (SELECT *, sha256('20261010:' || l_orderkey || ':' || l_linenumber) AS h FROM lineitem)) WHERE n = 1)) WHERE q <= 12""")
+WITH RECURSIVE d AS (SELECT l_returnflag AS c, l_linestatus AS g, CAST(l_orderkey AS VARCHAR) AS sha, min(l_linenumber) AS page FROM lineitem GROUP BY ALL),
+k AS (SELECT c, g, shas, row_number() OVER (ORDER BY c, g) AS n, greatest(1, 24 // count(*) OVER ()) AS quota FROM (SELECT c, g, list(sha ORDER BY sha) AS shas FROM d GROUP BY c, g)),
+walk AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, CAST([] AS VARCHAR[]) AS took UNION ALL
+  SELECT k.n, list_concat(seen, list_slice(list_filter(shas, lambda x: NOT list_contains(seen, x)), 1, quota)), list_slice(list_filter(shas, lambda x: NOT list_contains(seen, x)), 1, quota) FROM walk JOIN k ON k.n = walk.n + 1)
+SELECT class_name, audit_group, sha256, page_number FROM (SELECT c AS class_name, g AS audit_group, sha AS sha256, page AS page_number, row_number() OVER (ORDER BY n, sha) AS place
+  FROM (SELECT k.c, k.g, k.n, unnest(took) AS sha FROM walk JOIN k USING (n)) JOIN d USING (c, g, sha)) WHERE place <= 24""")
 def audit_turns(t):
-    """Pages for an audit, by turns over groups."""
-    rows = t("lineitem").select("l_returnflag", F.col("l_orderkey").alias("sha256"), "l_suppkey", F.col("l_linenumber").alias("page_number"))
-    return selection.by_turns(rows, "l_returnflag", "l_suppkey", 12).select("l_returnflag", F.col("sha256").alias("l_orderkey"), F.col("page_number").alias("l_linenumber"))
+    """Pages for an audit, from groups in order, no document twice."""
+    rows = t("lineitem").select(F.col("l_returnflag").alias("class_name"), F.col("l_linestatus").alias("audit_group"), F.col("l_orderkey").cast("string").alias("sha256"), F.col("l_linenumber").alias("page_number"))
+    return selection.by_groups(rows, 24).drop("place")
 
 
 @query()
 def coverage_selection(t):
     """Pages that cover tags and strata, chosen one after the other."""
-    rows = t("documents").select(F.col("doc_id").cast("string").alias("sha256"), F.lit(1).alias("page_number"), F.array("lang", "source").alias("stratum"), T.content_tags("text", F.lit(0.5)).alias("tags"))
-    return selection.cover(rows, ["article", "paragraph_number", "numbers", "table_candidate"], 24)
+    kind = F.when(F.col("lang").isin("en", "de"), "PMK").otherwise("PP")
+    rows = t("documents").select(F.col("doc_id").cast("string").alias("sha256"), F.lit(1).alias("page_number"), F.array(kind, "source", F.when(F.col("n_chars") < 500, "small").when(F.col("n_chars") < 3000, "medium").otherwise("large")).alias("stratum"), T.content_tags("text", F.lit(0.5)).alias("tags"))
+    return selection.cover(rows, 24)
 
 
 @query("""
