@@ -6,20 +6,27 @@ Every step is a function from tables to tables; ``Archive`` keeps the tables in
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gneiss.functions import text as T
 from gneiss.operators import merge, quality, registry
-from gneiss.sources import regulations, sinks
+from gneiss.sources import readers, regulations, sinks
 from gneiss.sources.schemas import OPEN, REGISTRY, RETRY
 from gneiss.streaming.incremental import VersionedTable, discover, start_run
 
 
 class Archive:
-    """The registry's tables below a folder; each write is a new version, so a broken run leaves the old one."""
+    """The registry's tables and the objects' contents below a folder.
+
+    Each write of a table is a new version, so a broken run leaves the old one.  Contents are written before the
+    registry names them; what a broken run left without a name is named by ``recover``.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
+        self.folder = folder.rstrip("/")
         self.spark, self.tables = spark, {n: VersionedTable(spark, f"{folder.rstrip('/')}/{n}", s) for n, s in REGISTRY.items()}
 
     def read(self) -> dict[str, DataFrame]:
@@ -27,10 +34,57 @@ class Archive:
         return {n: t.read() for n, t in self.tables.items()}
 
     def write(self, changed: dict[str, DataFrame]) -> None:
-        """The next version of the changed tables."""
+        """The contents among what changed, if any, and then the next version of the changed tables."""
+        if "contents" in changed:
+            self.keep(changed["contents"])
         for n, df in changed.items():
-            table = self.tables[n]
-            table.write((table.versions() or [-1])[-1] + 1, df)
+            if n in self.tables:
+                table = self.tables[n]
+                table.write((table.versions() or [-1])[-1] + 1, df)
+
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def _packed(self) -> DataFrame | None:
+        fs, path = self._path("contents")
+        return self.spark.read.parquet(f"{self.folder}/contents") if fs.exists(path) else None
+
+    def keep(self, contents: DataFrame) -> None:
+        """Add contents (as ``sinks.store`` gives them) that aren't there."""
+        packed = self._packed()
+        new = contents if packed is None else contents.join(packed.select("sha256"), "sha256", "left_anti")
+        sinks.write_objects(new, f"{self.folder}/contents")
+
+    def stored(self) -> DataFrame:
+        """sha256 and the unpacked content of every stored object."""
+        if self._packed() is None:
+            return self.spark.createDataFrame([], "sha256 string, content binary")
+        return readers.read_stored(self.spark, f"{self.folder}/contents").select("sha256", "content")
+
+    def recover(self, now: str) -> int:
+        """Name stored contents that the registry hasn't, as a run leaves them that ends between the two; how many."""
+        packed = self._packed()
+        if packed is None:
+            return 0
+        objects = self.tables["objects"].read()
+        lost = sinks.unrecorded(packed.drop("content", "sha_prefix"), objects).dropDuplicates(["sha256"]).withColumn("first_seen_at", F.lit(now))
+        count = lost.count()
+        if count:
+            self.write({"objects": objects.unionByName(_like(lost, "objects"))})
+        return count
+
+    @contextmanager
+    def writing(self):
+        """One writer at a time: a file that only one can create; ValueError for the second."""
+        fs, lock = self._path("lock")
+        fs.mkdirs(lock.getParent())
+        if not fs.createNewFile(lock):
+            raise ValueError(f"another run writes here; if none does, delete {self.folder}/lock")
+        try:
+            yield
+        finally:
+            fs.delete(lock, False)
 
 
 def _like(df: DataFrame, name: str) -> DataFrame:
@@ -83,7 +137,8 @@ def ingest_run(tables: dict[str, DataFrame], run_id: int, types: DataFrame, deta
     ``details`` are captured detail pages (url, html), ``payloads`` captured files (source_url, content,
     content_type).  An item without its page fails; one outside the scope keeps its page only; one whose
     file is missing, invalid or known in another form is partial.  Objects that are stored are not
-    stored again, and a second run over the same tables changes nothing.
+    stored again, and a second run over the same tables changes nothing.  The tables come with the contents to be
+    stored, which ``Archive.write`` writes first.
     """
     items = tables["manifest_items"].where((F.col("run_id") == run_id) & F.col("status").isin(*OPEN, *(RETRY if retry else ())))
     items = items.orderBy(F.col("status") != "running", "id").limit(limit) if limit else items
@@ -108,7 +163,8 @@ def ingest_run(tables: dict[str, DataFrame], run_id: int, types: DataFrame, deta
 
     known = tables["objects"]
     stored = outcomes.where("html IS NOT NULL").select(F.col("html").cast("binary").alias("content"), F.lit("text/html").alias("content_type")).unionByName(results.where(good).select("content", "content_type"))
-    objects = sinks.store(stored, known).select("sha256", "mime_type", "logical_size", "stored_size", "compression", "path", F.lit(now).alias("first_seen_at"))
+    contents = sinks.store(stored, known)
+    objects = contents.select("sha256", "mime_type", "logical_size", "stored_size", "compression", "path", F.lit(now).alias("first_seen_at"))
     seen = outcomes.where("html IS NOT NULL").select("instrument_id", "provider", F.col("detail_url").alias("source_url"), "source_id", F.lit(now).alias("retrieved_at"), F.col("detail_sha256").alias("content_sha256"), F.lit("text/html").alias("mime_type"), F.lit(0).alias("seq"))
     seen = seen.withColumns({"id": F.abs(F.xxhash64("source_url", "retrieved_at")), "raw_path": F.lit(None).cast("string"), "metadata_json": F.lit("{}")})
     events, compact = merge.record_observations(tables["source_fetch_events"], tables["source_observations"], seen)
@@ -122,6 +178,7 @@ def ingest_run(tables: dict[str, DataFrame], run_id: int, types: DataFrame, deta
     state = merge.run_status(manifest.where(F.col("run_id") == run_id)).select(F.col("run_id").alias("id"), "status")
     run_steps = state.select("id", F.lit("running").alias("status"), F.lit(now).alias("at"), F.lit(0).alias("seq")).unionByName(state.select("id", "status", F.lit(now).alias("at"), F.lit(1).alias("seq")))
     changed = {
+        "contents": contents,
         "objects": known.unionByName(_like(objects, "objects")),
         "source_fetch_events": _like(events, "source_fetch_events"),
         "source_observations": _like(compact, "source_observations"),

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from gneiss.operators import registry
 from gneiss.plans import acquisition
 from gneiss.sources import portal, readers, regulations
+from gneiss.streaming import incremental
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,8 +24,14 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="gneiss")
     out.add_argument("--root", required=True, help="folder of the registry's tables")
     verbs = out.add_subparsers(dest="verb", required=True)
-    for name in ("plan", "discover"):
+    verbs.add_parser("setup")
+    v = verbs.add_parser("catalog")
+    v.add_argument("--pages", required=True, help="folder of captured pages")
+    v.add_argument("--base", required=True)
+    for name in ("plan", "discover", "sync", "backfill"):
         v = verbs.add_parser(name)
+        v.add_argument("--config", help="TOML settings: pilot_year, overlap_years")
+        v.add_argument("--current-year", type=int, default=datetime.now(UTC).year)
         v.add_argument("--pages", required=True, help="folder of captured pages")
         v.add_argument("--base", required=True)
         v.add_argument("--group", default="pusat")
@@ -42,7 +49,7 @@ def parser() -> argparse.ArgumentParser:
         v.add_argument("--limit", type=int, default=0)
     verbs.add_parser("status").add_argument("--run-id", type=int)
     verbs.add_parser("references")
-    verbs.add_parser("verify").add_argument("--objects", required=True, help="folder of stored objects")
+    verbs.add_parser("verify").add_argument("--objects", help="folder of stored contents; the archive's own if not given")
     return out
 
 
@@ -71,37 +78,46 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     now = datetime.now(UTC).isoformat()
     show = lambda df: [print(r) for r in df.toJSON().collect()]
     try:
-        if a.verb in ("plan", "discover"):
+        if a.verb == "setup":
+            with archive.writing():
+                archive.write({n: df for n, df in archive.read().items() if not archive.tables[n].versions()})
+            print(json.dumps({"tables": len(archive.tables)}))
+            return 0
+        if a.verb == "catalog":
+            pages = spark.read.format("captured_pages").load(a.pages)
+            show(regulations.catalog_types(pages.where("page IS NULL AND group IS NOT NULL"), a.base).orderBy("group", "type_id"))
+            return 0
+        if a.verb in ("plan", "discover", "sync", "backfill"):
+            config = readers.load_config(a.config)
+            if a.verb == "sync":  # the years around now are observed again
+                years = incremental.sync_scope(config, a.current_year)
+                a.from_year, a.to_year, a.all, a.fresh = years["from_year"], years["to_year"], False, True
+            elif a.verb == "backfill" and not a.all:
+                a.from_year, a.to_year = a.from_year or config.pilot_year, a.to_year or a.current_year
             pages, types = selected(spark, a)
             if a.verb == "plan":
                 show(registry.plan(types, None if a.all else a.from_year, a.to_year))
                 return 0
             kept = [r.asDict() for r in types.select("group", "type_id", "name", "reported_total").orderBy("type_id").collect()]
             scope = {"groups": [a.group], "types": kept, "all_years": a.all, "from_year": a.from_year, "to_year": a.to_year, "query": None}
-            number, changed = acquisition.discover_run(archive.read(), scope, types, pages.where("page IS NOT NULL"), a.base, now, fresh=a.fresh)
-            archive.write(changed)
+            with archive.writing():
+                number, changed = acquisition.discover_run(archive.read(), scope, types, pages.where("page IS NOT NULL"), a.base, now, fresh=a.fresh)
+                archive.write(changed)
             state = archive.read()["acquisition_runs"].where(F.col("id") == number).first()
             print(json.dumps({"run_id": number, "status": state.status, "frozen_at": state.frozen_at}))
             return 0 if state.frozen_at else 2
         if a.verb in ("ingest", "retry"):
             if a.limit < 0:
                 raise ValueError("a limit can't be negative")
-            tables = archive.read()
-            if not tables["acquisition_runs"].where((F.col("id") == a.run_id) & F.col("frozen_at").isNotNull()).limit(1).count():
-                raise ValueError("the run is unknown or not frozen")
-            pages = spark.read.format("captured_pages").load(a.pages)
-            outcomes, changed = acquisition.ingest_run(tables, a.run_id, spark.read.parquet(a.types), pages.select("url", "html"), spark.read.parquet(a.payloads), now, a.verb == "retry", a.limit)
-            archive.write(changed)
-            state = archive.read()["acquisition_runs"].where(F.col("id") == a.run_id).first().status
-            print(json.dumps({"run_id": a.run_id, "status": state}))
-            return 0 if state == "complete" else 2
+            with archive.writing():
+                return _ingest(spark, archive, a, now)
         tables = archive.read()
         if a.verb == "status":
             show(acquisition.status(tables, a.run_id))
         elif a.verb == "references":
             show(acquisition.references(tables))
         else:
-            result = acquisition.verify(tables, readers.read_objects(spark, a.objects).select("sha256", "content"))
+            result = acquisition.verify(tables, readers.read_stored(spark, a.objects).select("sha256", "content") if a.objects else archive.stored())
             show(result)
             r = result.first()
             return 0 if r.missing == r.bad == 0 else 2
@@ -111,6 +127,19 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         return 3
 
 
+def _ingest(spark: SparkSession, archive: acquisition.Archive, a: argparse.Namespace, now: str) -> int:
+    archive.recover(now)
+    tables = archive.read()
+    if not tables["acquisition_runs"].where((F.col("id") == a.run_id) & F.col("frozen_at").isNotNull()).limit(1).count():
+        raise ValueError("the run is unknown or not frozen")
+    pages = spark.read.format("captured_pages").load(a.pages)
+    outcomes, changed = acquisition.ingest_run(tables, a.run_id, spark.read.parquet(a.types), pages.select("url", "html"), spark.read.parquet(a.payloads), now, a.verb == "retry", a.limit)
+    archive.write(changed)
+    state = archive.read()["acquisition_runs"].where(F.col("id") == a.run_id).first().status
+    print(json.dumps({"run_id": a.run_id, "status": state}))
+    return 0 if state == "complete" else 2
+
+
 def main() -> None:
     sys.exit(run(SparkSession.builder.appName("gneiss").getOrCreate(), sys.argv[1:]))
 

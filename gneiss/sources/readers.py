@@ -89,13 +89,17 @@ def identify_inventory(files: DataFrame, expected: int | None = None) -> tuple[D
 
 
 def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a JSON-lines checkpoint; an unreadable last line is dropped, any other raises."""
-    text = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", r"\n\z", ""), "\n").alias("lines"))
-    lines = text.select(F.posexplode("lines").alias("n", "line"), F.size("lines").alias("count"))
-    parsed = lines.select("n", "count", "line", F.try_parse_json("line").isNotNull().alias("ok"), F.from_json("line", schema).alias("row"))
-    checked = parsed.where(F.col("ok") | (F.col("n") < F.col("count") - 1))
-    sound = F.when(F.col("ok"), F.col("row")).otherwise(F.raise_error(F.concat(F.lit("line "), (F.col("n") + 1).cast("string"), F.lit(" can't be read"))))
-    return checked.select(sound.alias("row")).select("row.*")
+    """Rows of JSON-lines checkpoints; an unreadable last line of a file is dropped, any other raises.
+
+    Files are read by lines; only unreadable ones are compared with the places where their files end.
+    """
+    at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), at.alias("at"), F.try_parse_json("value").isNotNull().alias("ok"))
+    ends = lines.groupBy("file").agg(F.max("at").alias("end"))
+    wrong = lines.where(~F.col("ok")).join(ends, "file").where(F.col("at") != F.col("end"))
+    raised = wrong.select(F.raise_error(F.concat(F.lit("a line of "), F.col("file"), F.lit(" can't be read"))).cast("string").alias("value"))
+    sound = lines.where("ok").select("value").unionByName(raised)
+    return sound.select(F.from_json("value", schema).alias("row")).select("row.*")
 
 
 def json_rows(df: DataFrame, column: str, schema: str, *order: str) -> DataFrame:
@@ -110,6 +114,11 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, quote='"', escape='"', multiLine=True)
 
 
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """What ``sinks.write_objects`` wrote, with the content as it was before compression, and error."""
+    return gunzip(spark.read.parquet(path).drop("sha_prefix"))
+
+
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """Stored objects: path, sha256 of the name, content as it was before compression, stored_size, error."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -132,8 +132,11 @@ def quarantine(pages: DataFrame) -> DataFrame:
     return pages.where(~F.coalesce(F.col("parser_ok"), F.lit(False)) | F.col("has_more").isNull())
 
 
-def markdown(df: DataFrame, limit: int = 1000) -> str:
-    """A small report table as Markdown; pipes are escaped and line feeds become spaces."""
+def markdown(df: DataFrame, most: int = 10_000) -> str:
+    """A small report table as Markdown; pipes are escaped and line feeds become spaces; more than ``most`` rows are an error."""
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
-    rows = [df.columns, ["---"] * len(df.columns), *df.limit(limit).collect()]
+    held = df.limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} rows are no report table")
+    rows = [df.columns, ["---"] * len(df.columns), *held]
     return "\n".join("| " + " | ".join(map(cell, r)) + " |" for r in rows)
