@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from gneiss.plans import corpus, registry_queries
+from gneiss.plans import corpus, registry_queries, structure_queries
 
-QUERIES = {**corpus.LISTED.queries, **registry_queries.LISTED.queries}
-ORACLES = {**corpus.LISTED.oracles, **registry_queries.LISTED.oracles}
+_LISTED = (corpus.LISTED, registry_queries.LISTED, structure_queries.LISTED)
+QUERIES = {name: f for listed in _LISTED for name, f in listed.queries.items()}
+ORACLES = {name: sql for listed in _LISTED for name, sql in listed.oracles.items()}
