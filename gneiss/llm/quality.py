@@ -25,22 +25,31 @@ MAX_REPEATED = 50
 
 _ADDED = ("clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 _WS = r"[\\x20\\x09-\\x0D]"
-_SYMBOL = "[#*$%&|<>]"
+_SYMBOLS = "#*$%&|<>"
 #: Phrases of site boilerplate.
 _SITE = "(?i)(accept (all )?cookies|uses cookies|cookie policy|privacy policy|terms of (use|service)|all rights reserved|enable javascript|click here|read more|sign up|log in|subscribe (now|to)|share (this|on)|skip to content|lorem ipsum)"
 
 
-def _line_fails(x: str) -> str:
-    """SQL condition on a line ``x`` that has a word."""
-    n = f"regexp_count({x}, '[^\\\\x20\\\\x09-\\\\x0D]+')"
-    return f"""(
-        4 * regexp_count({x}, '{_SYMBOL}') >= {n}
-        OR 4 * regexp_count({x}, '[!?]{{2,}}') >= {n}
-        OR (regexp_count({x}, '[A-Z]') >= 10 AND regexp_count({x}, '[A-Z]') > 5 * regexp_count({x}, '[a-z]'))
-        OR ({n} <= 3 AND NOT {x} RLIKE '[.!?:;,)\\\\]"][\\\\x20\\\\x09-\\\\x0D]*$')
-        OR ({n} <= 20 AND {x} RLIKE '{_SITE}')
-        OR ({n} >= 60 AND NOT {x} RLIKE '[.,;:!?]')
-    )"""
+def _without(x: str, some: str) -> str:
+    """SQL of how many characters of ``x`` are among ``some``."""
+    return f"(length({x}) - length(translate({x}, '{some}', '')))"
+
+
+def _measured(lines: str) -> str:
+    """SQL of the lines (l) with their words (n), symbols and capitals, each counted once."""
+    words = "regexp_count(x, '[^\\\\x20\\\\x09-\\\\x0D]+')"
+    return f"transform({lines}, x -> struct(x AS l, {words} AS n, {_without('x', _SYMBOLS)} AS symbols, {_without('x', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')} AS capitals))"
+
+
+#: SQL condition on a measured line ``x`` that has a word.
+_FAILS = f"""(
+    4 * x.symbols >= x.n
+    OR ((contains(x.l, '!') OR contains(x.l, '??')) AND 4 * regexp_count(x.l, '[!?]{{2,}}') >= x.n)
+    OR (x.capitals >= 10 AND x.capitals > 5 * regexp_count(x.l, '[a-z]'))
+    OR (x.n <= 3 AND NOT x.l RLIKE '[.!?:;,)\\\\]"][\\\\x20\\\\x09-\\\\x0D]*$')
+    OR (x.n <= 20 AND x.l RLIKE '{_SITE}')
+    OR (x.n >= 60 AND NOT x.l RLIKE '[.,;:!?]')
+)"""
 
 
 def judge(docs: DataFrame, keep: int = KEEP) -> DataFrame:
@@ -54,13 +63,13 @@ def judge(docs: DataFrame, keep: int = KEEP) -> DataFrame:
     out = out.withColumn("__hashes", e("CASE WHEN __n > 3 THEN transform(slice(__words, 1, __n - 2), (x, i) -> xxhash64(x, get(__words, i + 1), get(__words, i + 2))) END"))
     out = out.withColumn("__sorted", e("CASE WHEN size(array_distinct(__hashes)) < __n - 2 THEN sort_array(transform(slice(__words, 1, __n - 2), (x, i) -> struct(concat_ws(' ', x, get(__words, i + 1), get(__words, i + 2)) AS t, i AS p))) END"))
     out = out.withColumn("__twice", e("filter(__sorted, (x, i) -> coalesce(x.t = get(__sorted, i - 1).t, false) OR coalesce(x.t = get(__sorted, i + 1).t, false))"))
-    out = out.withColumn("__stay", e(f"filter(__lines, x -> NOT {_line_fails('x')})"))
+    out = out.withColumn("__stay", e(f"transform(filter({_measured('__lines')}, x -> NOT {_FAILS}), x -> x.l)"))
     out = out.withColumn("clean_text", F.array_join("__stay", "\n"))
     out = out.withColumns(
         {
             "n_words": F.col("__n").cast("bigint"),
             "word_chars": F.length(F.array_join("__words", "")).cast("bigint"),
-            "n_symbols": e(f"regexp_count(__text, '{_SYMBOL}')").cast("bigint"),
+            "n_symbols": e(_without("__text", _SYMBOLS)).cast("bigint"),
             "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint"),
             "n_repeat_words": e("coalesce(size(array_distinct(flatten(transform(__twice, x -> sequence(x.p, x.p + 2))))), 0)").cast("bigint"),
             "__stay_chars": F.length(F.regexp_replace("clean_text", r"[\x20\x09-\x0D]+", "")).cast("bigint"),
