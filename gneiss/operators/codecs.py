@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import lzma
-import time
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -14,75 +11,18 @@ from pyspark.sql import functions as F
 from gneiss.functions import values as V
 from gneiss.operators.merge import pending
 from gneiss.operators.profile import distribution
+from gneiss.operators.trials import FIELDS, isolated, trial
 
 METHODS = ("gzip9", "zstd3", "zstd9", "zstd19", "lzma2")
-CHUNK = 1 << 20
-
-
-class NotAvailable(Exception):
-    """The codec's library isn't installed."""
-
-
-def _chunks(data: bytes):
-    for k in range(0, len(data), CHUNK):
-        yield data[k : k + CHUNK]
-
-
-def compress(data: bytes, method: str) -> bytes:
-    """``data`` in one stream of the method."""
-    if method == "gzip9":
-        packer = zlib.compressobj(9, zlib.DEFLATED, 31)
-    elif method == "lzma2":
-        packer = lzma.LZMACompressor(lzma.FORMAT_XZ, preset=6)
-    elif method.startswith("zstd"):
-        try:
-            import zstandard
-        except ImportError as e:
-            raise NotAvailable(method) from e
-        packer = zstandard.ZstdCompressor(level=int(method[4:])).compressobj()
-    else:
-        raise NotAvailable(method)
-    return b"".join([*(packer.compress(c) for c in _chunks(data)), packer.flush()])
-
-
-def decompress(data: bytes, method: str) -> bytes:
-    """What ``compress`` was given."""
-    if method == "gzip9":
-        unpacker = zlib.decompressobj(31)
-    elif method == "lzma2":
-        unpacker = lzma.LZMADecompressor(lzma.FORMAT_XZ)
-    elif method.startswith("zstd"):
-        try:
-            import zstandard
-        except ImportError as e:
-            raise NotAvailable(method) from e
-        unpacker = zstandard.ZstdDecompressor().decompressobj()
-    else:
-        raise NotAvailable(method)
-    return b"".join(unpacker.decompress(c) for c in _chunks(data))
-
-
-_SCHEMA = "status string, input_bytes bigint, payload_bytes bigint, manifest_bytes bigint, output_bytes bigint, encode_seconds double, decode_seconds double, exact boolean, member_sha256 array<string>, error string"
-
-
-def trial(data: bytes, method: str, sizes: list[int], hashes: list[str], manifest_bytes: int = 0) -> tuple:
-    """Compress, decompress, cut at the members' sizes and compare each hash; a failure is a row, never raised."""
-    try:
-        t0 = time.perf_counter()
-        packed = compress(data, method)
-        t1 = time.perf_counter()
-        again = decompress(packed, method)
-        found, at = [], 0
-        for n in sizes:
-            found.append(hashlib.sha256(again[at : at + n]).hexdigest())
-            at += n
-        t2 = time.perf_counter()
-        exact = at == len(again) and found == hashes
-        return "ok" if exact else "mismatch", len(data), len(packed), manifest_bytes, len(packed) + manifest_bytes, t1 - t0, t2 - t1, exact, found, None
-    except NotAvailable as e:
-        return "not_available", len(data), None, manifest_bytes, None, None, None, False, None, str(e)
-    except Exception as e:
-        return "error", len(data), None, manifest_bytes, None, None, None, False, None, f"{type(e).__name__}: {e}"
+
+_SCHEMA = "status string, input_bytes bigint, payload_bytes bigint, manifest_bytes bigint, output_bytes bigint, encode_seconds double, decode_seconds double, exact boolean, member_sha256 array<string>, error string, peak_rss_bytes bigint"
+
+
+def _outcome(data: list[bytes], method: str, manifest_bytes: int, seconds: float | None, rss_bytes: int | None) -> dict:
+    """FIELDS of a trial over one unit's members; with a limit, in a process of its own."""
+    asked = b"".join(data), method, [len(d) for d in data], [hashlib.sha256(d).hexdigest() for d in data], manifest_bytes
+    limited = seconds is not None or rss_bytes is not None
+    return dict(zip(FIELDS, isolated(*asked, seconds, rss_bytes) if limited else trial(*asked), strict=True))
 
 
 def _with_rates(rows: DataFrame) -> DataFrame:
@@ -96,8 +36,12 @@ def _with_rates(rows: DataFrame) -> DataFrame:
     )
 
 
-def benchmark_documents(docs: DataFrame, key: str, content: str, methods=METHODS, done: DataFrame | None = None) -> DataFrame:
-    """A row for every document and method that ``done`` (unit_id, method) hasn't: sizes, times, exactness."""
+def benchmark_documents(docs: DataFrame, key: str, content: str, methods=METHODS, done: DataFrame | None = None, seconds: float | None = None, rss_bytes: int | None = None) -> DataFrame:
+    """A row for every document and method that ``done`` (unit_id, method) hasn't: sizes, times, exactness.
+
+    With a limit of seconds or of memory each trial runs in a process of its own, whose peak is kept; a trial beyond
+    a limit has status timeout or resource_limit.
+    """
     units = docs.select(F.concat(F.lit("doc:"), F.col(key).cast("string")).alias("unit_id"), F.col(content).cast("binary").alias("content"))
     units = units.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
     if done is not None:
@@ -106,11 +50,9 @@ def benchmark_documents(docs: DataFrame, key: str, content: str, methods=METHODS
     def run(batches):
         for batch in batches:
             ids, data, how = (batch.column(k).to_pylist() for k in range(3))
-            rows = [trial(d or b"", m, [len(d or b"")], [hashlib.sha256(d or b"").hexdigest()]) for d, m in zip(data, how, strict=True)]
-            out = [dict(zip(names, r, strict=True)) | {"unit_id": u, "method": m} for u, m, r in zip(ids, how, rows, strict=True)]
+            out = [{"unit_id": u, "method": m} | _outcome([d or b""], m, 0, seconds, rss_bytes) for u, d, m in zip(ids, data, how, strict=True)]
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    names = [x.split()[0] for x in _SCHEMA.split(", ")]
     schema = _arrow("unit_id string, method string, " + _SCHEMA)
     made = units.select("unit_id", "content", "method").mapInArrow(run, "unit_id string, method string, " + _SCHEMA)
     return _with_rates(made).withColumns({"mode": F.lit("perdoc"), "independent_access": F.lit(True)})
@@ -121,21 +63,20 @@ def _arrow(ddl: str) -> pa.Schema:
     return pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in ddl.split(", ")])
 
 
-def benchmark_shards(members: DataFrame, key: str, content: str, methods=METHODS) -> DataFrame:
+def benchmark_shards(members: DataFrame, key: str, content: str, methods=METHODS, seconds: float | None = None, rss_bytes: int | None = None) -> DataFrame:
     """A row for every shard and method.  ``members`` has shard, unit_id, manifest_bytes, the key and the content.
 
-    A shard's size has a cap (see greedy_shards), so a task holds one shard at a time.
+    A shard's size has a cap (see greedy_shards), so a task holds one shard at a time.  Limits are those of ``benchmark_documents``.
     """
     rows = members.select("shard", "unit_id", "manifest_bytes", F.col(key).cast("string").alias("k"), F.col(content).cast("binary").alias("c"))
     rows = rows.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
-    names = [x.split()[0] for x in _SCHEMA.split(", ")]
     schema = _arrow("unit_id string, method string, " + _SCHEMA)
 
     def run(key, table):
         table = table.sort_by("k")
         data = [x or b"" for x in table.column("c").to_pylist()]
-        made = trial(b"".join(data), key[1].as_py(), [len(d) for d in data], [hashlib.sha256(d).hexdigest() for d in data], table.column("manifest_bytes")[0].as_py() or 0)
-        return pa.Table.from_pylist([dict(zip(names, made, strict=True)) | {"unit_id": table.column("unit_id")[0].as_py(), "method": key[1].as_py()}], schema)
+        made = _outcome(data, key[1].as_py(), table.column("manifest_bytes")[0].as_py() or 0, seconds, rss_bytes)
+        return pa.Table.from_pylist([{"unit_id": table.column("unit_id")[0].as_py(), "method": key[1].as_py()} | made], schema)
 
     made = rows.groupBy("shard", "method").applyInArrow(run, "unit_id string, method string, " + _SCHEMA)
     return _with_rates(made).withColumns({"mode": F.lit("shard"), "independent_access": F.lit(False)})
