@@ -74,6 +74,14 @@ class Archive:
             self.write({"objects": objects.unionByName(_like(lost, "objects"))})
         return count
 
+    def guard(self, reserve: int, more: int = 0) -> None:
+        """ValueError where writing ``more`` bytes would leave less than ``reserve`` on the archive's file system; 0: no reserve."""
+        fs, path = self._path("")
+        fs.mkdirs(path)
+        free = fs.getStatus(path).getRemaining()
+        if reserve and free - more < reserve:
+            raise ValueError(f"{free} bytes are free, {reserve} are to be kept")
+
     @contextmanager
     def writing(self):
         """One writer at a time: a file that only one can create; ValueError for the second."""
@@ -131,6 +139,33 @@ def discover_run(tables: dict[str, DataFrame], scope: dict, types: DataFrame, pa
     return number, {"acquisition_runs": _like(runs, "acquisition_runs"), "discovery_partitions": _like(partitions, "discovery_partitions"), "manifest_items": manifest, "discovery_memberships": _like(memberships, "discovery_memberships"), "source_records": _like(records, "source_records")}
 
 
+def listed_run(tables: dict[str, DataFrame], documents: DataFrame, year: int, now: str, limit: int | None = None, provider: str = regulations.PROVIDER) -> tuple[int, dict[str, DataFrame]]:
+    """The id of a new run over listed documents (source_id, detail_url, title_hint), and the tables with it.
+
+    The list is the run's manifest: it is frozen at once, without partitions or memberships.  A document that is
+    listed twice counts once; with a limit, the first ones by source_id stay.  The limit is a feature of trial runs.
+    """
+    runs = tables["acquisition_runs"]
+    number = (runs.agg(F.max("id")).first()[0] or 0) + 1
+    rows = documents.groupBy("source_id").agg(F.min(F.struct("detail_url", "title_hint")).alias("d")).select("source_id", "d.*")
+    rows = rows.orderBy("source_id").limit(limit) if limit else rows
+    known = tables["manifest_items"]
+    base = known.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m"))
+    items = rows.join(F.broadcast(base)).withColumns({"run_id": F.lit(number).cast("bigint"), "provider": F.lit(provider), "year": F.lit(year), "status": F.lit("pending"), "attempts": F.lit(0), "metadata_json": F.lit("{}"), "updated_at": F.lit(now)})
+    items = items.withColumn("id", F.col("m") + F.abs(F.xxhash64("provider", "source_id")) % F.lit(1 << 53) + 1)
+    run = items.sparkSession.range(1).select(F.lit(number).alias("id"), F.lit("backfill").alias("mode"), F.lit(provider).alias("provider"), F.lit(year).alias("from_year"), F.lit(year).alias("to_year"), F.lit("ready").alias("status"), F.lit("{}").alias("metadata_json"), F.lit("{}").alias("scope_json"), *[F.lit(now).alias(c) for c in ("snapshot_cutoff", "created_at", "frozen_at")])
+    segment = items.agg(F.count("*").alias("discovered_count")).withColumns({"run_id": F.lit(number), "year": F.lit(year), "status": F.lit("complete"), "next_page": F.lit(1), "updated_at": F.lit(now)})
+    seen = items.select("provider", "source_id", "detail_url", "title_hint", F.lit(now).alias("first_seen_at"), F.lit(now).alias("last_seen_at"), F.lit("{}").alias("metadata_json"), F.lit(0).alias("seq"))
+    for c in ("instrument_id", "last_checked_at", "latest_detail_sha256"):
+        seen = seen.withColumn(c, F.lit(None).cast("string"))
+    return number, {
+        "acquisition_runs": runs.unionByName(_like(run, "acquisition_runs")),
+        "run_segments": tables["run_segments"].unionByName(_like(segment, "run_segments")),
+        "manifest_items": known.unionByName(_like(items, "manifest_items")),
+        "source_records": _like(merge.touch_source_records(tables["source_records"], seen), "source_records"),
+    }
+
+
 def ingest_run(tables: dict[str, DataFrame], run_id: int, types: DataFrame, details: DataFrame, payloads: DataFrame, now: str, retry: bool = False, limit: int | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Outcomes of a run's open items, and the tables after them.
 
@@ -149,6 +184,8 @@ def ingest_run(tables: dict[str, DataFrame], run_id: int, types: DataFrame, deta
     m = lambda k: F.try_element_at("metadata", F.lit(k))
     scoped = parsed.withColumns({"observed_type_id": m("Jenis ID"), "observed_type": F.coalesce(m("Bentuk"), m("Bentuk Singkat"))})
     scoped = registry.unresolved_class(scoped, tables["discovery_memberships"], types)
+    bound = tables["acquisition_runs"].where((F.col("id") == run_id) & (F.coalesce("scope_json", F.lit("{}")) != "{}")).limit(1).count() > 0
+    scoped = scoped if bound else scoped.withColumn("unresolved_class", F.lit(False))  # a list has no scope to fit
     outside = registry.out_of_scope(F.col("requested"), T.year(m("Tahun")), m("Lokasi"), m("Bentuk"))
     scoped = scoped.withColumns({"failed": F.col("html").isNull(), "outside": F.coalesce(outside, F.lit(False)), "instrument_id": F.when(F.col("instrument").isNotNull(), F.concat_ws(":", "provider", F.lit("source"), "source_id"))})
     wanted = scoped.where("NOT failed AND NOT outside").select("id", "provider", "source_id", "detail_sha256", F.explode("file_urls").alias("url"))

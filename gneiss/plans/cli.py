@@ -1,4 +1,4 @@
-"""Command line over an archive folder: plan, discover, ingest, retry, status, references, verify.
+"""Command line over an archive folder: setup, capture, catalog, plan, discover, sync, backfill, ingest, retry, listed, status, references, verify.
 
 Exit codes: 0 done, 2 partial, 3 bad request.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gneiss.operators import registry
 from gneiss.plans import acquisition
-from gneiss.sources import portal, readers, regulations
+from gneiss.sources import client, portal, readers, regulations, sinks
 from gneiss.streaming import incremental
 
 
@@ -25,6 +25,11 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--root", required=True, help="folder of the registry's tables")
     verbs = out.add_subparsers(dest="verb", required=True)
     verbs.add_parser("setup")
+    v = verbs.add_parser("capture")
+    v.add_argument("--config", help="TOML settings: timeout_seconds, request_delay_seconds, retries")
+    v.add_argument("--urls", required=True, help="JSON lines of url, and group, type_id, year, page where known")
+    v.add_argument("--pages", required=True, help="folder of captured pages")
+    v.add_argument("--agent", default="gneiss")
     v = verbs.add_parser("catalog")
     v.add_argument("--pages", required=True, help="folder of captured pages")
     v.add_argument("--base", required=True)
@@ -40,14 +45,22 @@ def parser() -> argparse.ArgumentParser:
         v.add_argument("--from-year", type=int)
         v.add_argument("--to-year", type=int)
         v.add_argument("--fresh", action="store_true")
-    for name in ("ingest", "retry"):
+        v.add_argument("--max-pages", type=int, default=0, help="pages of a partition; beyond them it stays incomplete")
+    for name in ("ingest", "retry", "listed"):
         v = verbs.add_parser(name)
-        v.add_argument("--run-id", type=int, required=True)
+        if name == "listed":
+            v.add_argument("--documents", required=True, help="Parquet of source_id, detail_url, title_hint")
+            v.add_argument("--year", type=int, required=True)
+        else:
+            v.add_argument("--run-id", type=int, required=True)
+        v.add_argument("--config", help="TOML settings: reserve_bytes")
         v.add_argument("--pages", required=True)
         v.add_argument("--payloads", required=True, help="Parquet of source_url, content, content_type")
         v.add_argument("--types", required=True, help="Parquet of the types that were selected")
         v.add_argument("--limit", type=int, default=0)
-    verbs.add_parser("status").add_argument("--run-id", type=int)
+    v = verbs.add_parser("status")
+    v.add_argument("--run-id", type=int)
+    v.add_argument("--output", help="file for the report as JSON")
     verbs.add_parser("references")
     verbs.add_parser("verify").add_argument("--objects", help="folder of stored contents; the archive's own if not given")
     return out
@@ -83,6 +96,13 @@ def run(spark: SparkSession, argv: list[str]) -> int:
                 archive.write({n: df for n, df in archive.read().items() if not archive.tables[n].versions()})
             print(json.dumps({"tables": len(archive.tables)}))
             return 0
+        if a.verb == "capture":
+            config = readers.load_config(a.config)
+            polite = client.Client(a.agent, config.request_delay_seconds, config.timeout_seconds, config.retries)
+            with open(a.urls, encoding="utf-8") as f:
+                counts = client.capture(polite, (json.loads(line) for line in f if line.strip()), a.pages)
+            print(json.dumps(counts))
+            return 2 if counts["failed"] else 0
         if a.verb == "catalog":
             pages = spark.read.format("captured_pages").load(a.pages)
             show(regulations.catalog_types(pages.where("page IS NULL AND group IS NOT NULL"), a.base).orderBy("group", "type_id"))
@@ -100,20 +120,30 @@ def run(spark: SparkSession, argv: list[str]) -> int:
                 return 0
             kept = [r.asDict() for r in types.select("group", "type_id", "name", "reported_total").orderBy("type_id").collect()]
             scope = {"groups": [a.group], "types": kept, "all_years": a.all, "from_year": a.from_year, "to_year": a.to_year, "query": None}
+            if a.max_pages < 0:
+                raise ValueError("a bound of pages can't be negative")
+            pages = pages.where(F.col("page") <= a.max_pages) if a.max_pages else pages.where("page IS NOT NULL")
             with archive.writing():
-                number, changed = acquisition.discover_run(archive.read(), scope, types, pages.where("page IS NOT NULL"), a.base, now, fresh=a.fresh)
+                number, changed = acquisition.discover_run(archive.read(), scope, types, pages, a.base, now, fresh=a.fresh)
                 archive.write(changed)
             state = archive.read()["acquisition_runs"].where(F.col("id") == number).first()
             print(json.dumps({"run_id": number, "status": state.status, "frozen_at": state.frozen_at}))
             return 0 if state.frozen_at else 2
-        if a.verb in ("ingest", "retry"):
+        if a.verb in ("ingest", "retry", "listed"):
             if a.limit < 0:
                 raise ValueError("a limit can't be negative")
             with archive.writing():
+                archive.guard(readers.load_config(a.config).reserve_bytes)
+                if a.verb == "listed":
+                    a.run_id, changed = acquisition.listed_run(archive.read(), spark.read.parquet(a.documents), a.year, now, a.limit)
+                    archive.write(changed)
                 return _ingest(spark, archive, a, now)
         tables = archive.read()
         if a.verb == "status":
-            show(acquisition.status(tables, a.run_id))
+            report = acquisition.status(tables, a.run_id)
+            show(report)
+            if a.output:
+                sinks.write_json(json.loads(report.toJSON().first()), a.output)
         elif a.verb == "references":
             show(acquisition.references(tables))
         else:

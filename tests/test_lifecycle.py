@@ -126,3 +126,31 @@ def test_more_verbs(spark, tmp_path, capsys):
     runs = acquisition.Archive(spark, f"file://{tmp_path}/archive").read()["acquisition_runs"]
     assert [(r.from_year, r.to_year) for r in runs.collect()] == [(2019, 2020)]
     assert go("backfill", *config, "--from-year", "2020") == 0
+
+
+def test_listed(spark, tmp_path, capsys):
+    """Listed documents need no scope; a limit keeps the first ones; the reserve stops a run before it writes."""
+    pages = tmp_path / "pages"
+    pages.mkdir()
+    (pages / "a.jsonl").write_text("\n".join(json.dumps(r) for r in captured()))
+    files, types, listed = (str(tmp_path / n) for n in ("payloads", "types", "listed"))
+    payloads(spark).write.parquet(files)
+    spark.createDataFrame([("pusat", "8", "Undang-Undang")], "group string, type_id string, name string").write.parquet(types)
+    rows = [(str(i), f"{BASE}/Details/{i}/uu", f"T {i}") for i in (15, 12, 11, 15, 16)]
+    spark.createDataFrame(rows, "source_id string, detail_url string, title_hint string").write.parquet(listed)
+    archive = acquisition.Archive(spark, f"file://{tmp_path}/archive")
+    go = lambda *argv: cli.run(spark, ["--root", archive.folder, *argv])
+    work = ["--documents", listed, "--year", "2020", "--pages", str(pages), "--payloads", files, "--types", types]
+    (tmp_path / "c.toml").write_text(f"reserve_bytes = {1 << 60}\n")
+    assert go("listed", *work, "--config", str(tmp_path / "c.toml")) == 3 and not archive.tables["acquisition_runs"].versions()
+    assert go("listed", *work, "--limit", "2") == 2
+    states = lambda n: {r.source_id: r.status for r in archive.read()["manifest_items"].where(F.col("run_id") == n).collect()}
+    assert states(1) == {"11": "no_file", "12": "partial"}
+    assert go("listed", *work) == 2
+    assert states(2) == {"11": "no_file", "12": "partial", "15": "done", "16": "out_of_scope"}
+    assert [(r.mode, r.status) for r in archive.read()["acquisition_runs"].orderBy("id").collect()] == [("backfill", "partial")] * 2
+    capsys.readouterr()
+    assert go("status", "--output", str(tmp_path / "report.json")) == 0
+    assert json.loads((tmp_path / "report.json").read_text()) == json.loads(capsys.readouterr().out)
+    bounded = ["--pages", str(pages), "--base", BASE, "--from-year", "2020", "--to-year", "2020"]
+    assert go("discover", *bounded, "--max-pages", "1") == 2 and go("discover", *bounded) == 0
