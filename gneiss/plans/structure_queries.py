@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from gneiss.functions import text as T
 from gneiss.functions import values as V
-from gneiss.operators import merge, pdf, profile, quality, registry
+from gneiss.operators import codecs, merge, pdf, profile, quality, registry
+from gneiss.plans import acquisition
 from gneiss.plans.registering import Catalogue
-from gneiss.sources import readers, regulations, sinks
+from gneiss.sources import pdf_files, readers, regulations, sinks
+from gneiss.sources.schemas import REGISTRY
 from gneiss.sources.workspace import scratch
 from gneiss.streaming import incremental
 
@@ -293,3 +295,40 @@ def scope_marks(t):
     spark: SparkSession = t("region").sparkSession
     rows = [(r.r_regionkey, V.scope_fingerprint({"types": [{"type_id": "2", "reported_total": r.r_regionkey}, {"type_id": "1"}], "groups": ["x", r.r_name], "all_years": True})) for r in t("region").collect()]
     return spark.createDataFrame(rows, "r_regionkey int, mark string")
+
+
+@query("""
+WITH q AS (SELECT *, 2 * length(regexp_replace(p_name, '\\s', '', 'g')) AS n, round(least(1.0, p_size * 4 / CAST(200 AS DOUBLE)), 8) AS c FROM part)
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'failed' ELSE 'ok' END AS status, CASE WHEN p_partkey % 3 > 0 THEN CASE WHEN c >= 0.7 AND n >= 20 THEN 'raster_text' WHEN n >= 20 AND c < 0.05 THEN 'born' WHEN c >= 0.7 THEN 'raster' WHEN n >= 20 THEN 'mixed' ELSE 'unknown' END END AS class_name,
+  CASE WHEN p_partkey % 3 > 0 THEN c END AS image_coverage, CASE WHEN p_partkey % 3 > 0 THEN n END AS text_chars, CASE WHEN p_partkey % 3 > 0 THEN CAST(p_size AS BIGINT) END AS image_bytes, CASE WHEN p_partkey % 3 > 0 THEN CAST(6 AS BIGINT) END AS objects FROM q""")
+def pdf_scan(t):
+    """Pages and objects of generated PDF files; every third file has no header and fails."""
+    body = F.format_string(
+        "%s 1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj 2 0 obj << /Type /Pages /Kids [3 0 R] /MediaBox [0 0 200 100] >> endobj "
+        "3 0 obj << /Type /Page /Contents 4 0 R /Resources << /XObject << /I 5 0 R >> >> >> endobj "
+        "4 0 obj << /Length 6 0 R >> stream\nBT (%s) Tj T* (%s) Tj ET q %d 0 0 100 0 0 cm /I Do Q\nendstream endobj 6 0 obj 7 endobj "
+        "5 0 obj << /Subtype /Image /Width 1 /Height 1 /Length %d >> stream\n%s\nendstream endobj trailer << /Root 1 0 R >>",
+        F.when(F.col("p_partkey") % 3 == 0, "nothing").otherwise("%PDF-1.4"), "p_name", "p_name", F.col("p_size") * 4, "p_size", F.expr("repeat('x', p_size)"),
+    )
+    files = t("part").select(F.col("p_partkey").cast("string").alias("sha256"), F.encode(body, "UTF-8").alias("content"))
+    found = pdf_files.tables(pdf_files.scan(files), files)
+    objects = found["objects"].groupBy(F.col("file_sha256").alias("sha256")).agg(F.count("*").alias("objects"))
+    rows = found["files"].join(found["pages"].select("sha256", "class_name", "image_coverage", "text_chars"), "sha256", "left").join(objects, "sha256", "left")
+    return rows.select(F.col("sha256").cast("bigint").alias("p_partkey"), "status", "class_name", "image_coverage", F.col("text_chars").cast("bigint").alias("text_chars"), "image_bytes", "objects")
+
+
+@query("SELECT 'doc:' || n_nationkey AS unit_id, 'ok' AS status, true AS exact, CAST(strlen(n_name) AS BIGINT) AS input_bytes FROM nation")
+def limited_trials(t):
+    """Trials in processes of their own, within limits of time and memory."""
+    rows = codecs.benchmark_documents(t("nation"), "n_nationkey", "n_name", ("gzip9",), seconds=120.0, rss_bytes=1 << 31)
+    return rows.select("unit_id", "status", "exact", "input_bytes")
+
+
+@query("SELECT CAST(1 AS BIGINT) AS run_id, CAST(s_suppkey AS VARCHAR) AS source_id, '/Details/' || s_suppkey AS detail_url, s_name AS title_hint, CAST(2020 AS INTEGER) AS year, 'pending' AS status FROM supplier")
+def listed_manifest(t):
+    """The manifest of a run over listed documents, each of which is listed twice."""
+    rows = t("supplier").select(F.col("s_suppkey").cast("string").alias("source_id"), F.concat(F.lit("/Details/"), F.col("s_suppkey").cast("string")).alias("detail_url"), F.col("s_name").alias("title_hint"))
+    twice = rows.unionByName(rows.withColumn("title_hint", F.concat("title_hint", F.lit(" again"))))
+    empty = {n: rows.sparkSession.createDataFrame([], s) for n, s in REGISTRY.items()}
+    _, changed = acquisition.listed_run(empty, twice, 2020, "2024-01-01T00:00:00+00:00")
+    return changed["manifest_items"].select("run_id", "source_id", "detail_url", "title_hint", "year", "status")
