@@ -374,6 +374,10 @@ def _residuals(words, at, n, order, column, out) -> np.ndarray:
     left, part = n - order, n >> depth
     rice, escape = np.zeros(len(at), np.int64), np.full(len(at), -1, np.int64)
     turn = part - order  # residuals before the next partition
+    empty = np.flatnonzero(turn == 0)  # a first partition without residuals has its parameter all the same
+    first = _take(words, at[empty], wide[empty])
+    at[empty] += wide[empty] + np.where(first == (1 << wide[empty]) - 1, 5, 0)
+    turn[empty] = part[empty]
     turns = np.zeros(len(at), np.int64)  # where the current partition began
     live = np.searchsorted(-left, -np.arange(int(left[0])), side="left")
     due = np.zeros(len(at), np.int64)
@@ -391,7 +395,6 @@ def _residuals(words, at, n, order, column, out) -> np.ndarray:
                 at[e] += 5
             turns[g] = i
             due[g] = i + np.where(turns[g] == 0, turn[g], part[g])
-            due[g] = np.where(due[g] <= i, i + part[g], due[g])
             next_due = int(due[:a].min())
             escaped = bool((escape[:a] >= 0).any())
         p, k = at[:a], rice[:a]
@@ -468,10 +471,16 @@ def decode(streams: list[bytes]) -> list[np.ndarray]:
             out[i].append(s)
     for i, s in enumerate(parsed):
         if not s.indexed:
-            at, done = s.audio, 0
-            while done < s.samples:  # a few blocks' bytes at a time: a frame is never larger than its samples by much
-                cut = s.data[at : at + 4 * s.block * 4 + 64]
-                (own,), (used,) = _decode_frames(cut, [0], s.bits)
+            at, done, size = s.audio, 0, 16 * s.block + 64
+            while done < s.samples:
+                cut = s.data[at : at + size]  # a frame is seldom larger than its samples by much
+                try:
+                    (own,), (used,) = _decode_frames(cut, [0], s.bits)
+                except (IndexError, ValueError):
+                    if at + size >= len(s.data):
+                        raise
+                    size *= 4
+                    continue
                 out[i].append(own)
                 at, done = at + used, done + len(own)
     result = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
@@ -490,11 +499,13 @@ def _one_depth(parsed: list[Stream], used: list[int]) -> int:
 
 
 def read_samples(data: bytes, start: int, count: int) -> np.ndarray:
-    """``count`` samples from ``start`` on: only the frames that hold them are decoded."""
+    """``count`` samples from ``start`` on: only the frames that hold them are decoded, all if no seek table names them."""
     s = parse(data)
     stop = min(start + count, s.samples)
     if start >= stop:
         return np.zeros(0, np.int64)
+    if not s.indexed:
+        return decode([data])[0][start:stop]
     held = [(first, o) for first, o, n in s.points if first < stop and first + n > start]
     own, _ = _decode_frames(data, [s.audio + o for _, o in held], s.bits)
     joined = np.concatenate(own)
