@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import math
 import re
 import time
 
@@ -155,3 +156,76 @@ def test_overlapping_cuts(spark):
                 out += text[at : x.start] + f"<{x.kind}>"
             at = max(at, x.stop)
         assert clean[k] == out + text[at:]
+
+
+def plain_features(url):
+    """Length, depth, digits, entropy, parameters, labels, hyphens and lengths of a url's parts, by plain loops."""
+    host, path, _ = plain_rule(url)
+    url = url or ""
+    first = path[1:].split("/")[0] if path.startswith("/") else ""
+    low = url.lower()
+    entropy = -sum(low.count(c) / len(low) * math.log2(low.count(c) / len(low)) for c in set(low))
+    digits = sum(c in "0123456789" for c in url) / max(1, len(url))
+    return {"length": len(url), "depth": path.count("/"), "digits": digits, "entropy": entropy, "parameters": 1 + url.count("&") if "?" in url else 0, "labels": host.count("."), "hyphens": host.count("-"), "host_length": len(host), "first": len(first), "suffix_length": len(host.split(".")[-1])}
+
+
+def plain_boosting(rows, trees=urls.TREES, rate=urls.RATE):
+    """Margins by boosting over single rows of (bins, label): depth two, the best gain, ties to the first feature's lowest bin."""
+    share = (sum(y for _, y in rows) + 1) / (len(rows) + 2)
+    base, grown = math.log(share / (1 - share)), []
+    margin = lambda bins: base + sum(t(bins) for t in grown)
+    edges = [len(e) for _, e in urls.FEATURES.values()]
+    for _ in range(trees):
+        steps = []
+        for bins, y in rows:
+            p = 1 / (1 + math.exp(-margin(bins)))
+            steps.append((bins, y - p, p * (1 - p)))
+
+        def best(own):
+            score = lambda part: sum(g for _, g, _ in part) ** 2 / (sum(h for _, _, h in part) + 1)
+            found = (0.0, None, None)
+            for f, n in enumerate(edges):
+                for b in range(n):
+                    gain = score([s for s in own if s[0][f] <= b]) + score([s for s in own if s[0][f] > b]) - score(own)
+                    if gain > found[0] + 1e-9:
+                        found = gain, f, b
+            return found[1:]
+
+        value = lambda part: rate * sum(g for _, g, _ in part) / (sum(h for _, _, h in part) + 1)
+        f, b = best(steps)
+        if f is None:
+            break
+        sides = []
+        for own in ([s for s in steps if s[0][f] <= b], [s for s in steps if s[0][f] > b]):
+            f2, b2 = best(own)
+            sides.append((f2, b2, value(own), value(own)) if f2 is None else (f2, b2, value([s for s in own if s[0][f2] <= b2]), value([s for s in own if s[0][f2] > b2])))
+
+        def tree(bins, f=f, b=b, sides=sides):
+            f2, b2, low, high = sides[bins[f] > b]
+            return low if f2 is None or bins[f2] <= b2 else high
+
+        grown.append(tree)
+    return margin
+
+
+def test_trees_against_plain_boosting(spark, data):
+    """Features, bins, trees and margins of generated pages and other urls, row by row."""
+    r = random.Random(3)
+    word = lambda a, b: "".join(r.choices("abcdefghij0123456789-", k=r.randrange(a, b)))
+    more = [f"http://{word(1, 12)}.{r.choice(['net', 'example.net', 'example.com', 'org', 'info'])}/{r.choice(['en', 'de', 'fr', word(0, 9)])}/{'/'.join(word(1, 9) for _ in range(r.randrange(6)))}{r.choice(['', '?a=1', '?a=1&b=2&c=3', '#x'])}" for _ in range(300)]
+    pages = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url").unionByName(spark.createDataFrame([(10**6 + k, u) for k, u in enumerate(more)], "page_id long, url string"))
+    ruled = urls.apply_rules(pages)
+    model = urls.train(ruled.select("url", "host", "path", "ruled"))
+    rows = urls._bins(ruled, model.rates, model.rate).withColumn("m", urls.margin(model)).collect()
+    known = list(urls.FEATURES)
+    labelled = [(r["__bins"], float(r.ruled == "block")) for r in rows if r.ruled]
+    assert len(labelled) > 50 and model.trees
+    margin = plain_boosting(labelled)
+    for r in rows:
+        own = plain_features(r.url)
+        for name, x in own.items():
+            edges = urls.FEATURES[name][1]
+            wanted = next((i for i, e in enumerate(edges) if x <= e), len(edges))
+            near = any(abs(x - e) < 1e-9 for e in edges)  # sums of another order may fall on either side
+            assert near or r["__bins"][known.index(name)] == wanted, (r.url, name)
+        assert abs(r.m - margin(r["__bins"])) < 1e-6

@@ -284,3 +284,51 @@ def test_no_copies_in_lexicon(spark, seen):
     rows += [(f"rare {'x' if not seen else name(k)} vexing {'y' if not seen else name(k + 1)}", 1) for k in range(60)]
     model = toxicity.learn(spark.createDataFrame(rows, "text string, toxic int"))
     assert ("vexing" in model.lexicon) == seen
+
+
+def plain_clause(words, lexicon):
+    """Score, aimed insults, threats, softened words and insults of a clause by the distances of its words."""
+    kind = lambda w: "insult" if w in lexicon else next((n for n, own in (("target", toxicity.TARGETS), ("modal", toxicity.MODALS), ("threat", toxicity.THREATS), ("negation", toxicity.NEGATIONS), ("report", toxicity.REPORTS)) if w in own), "other")
+    kinds = [kind(w) for w in words]
+    last = lambda name, k: next((k - j for j in range(k - 1, -1, -1) if kinds[j] == name), 10**6)
+    score, aimed, threats, soft, hits = 0.0, 0, 0, 0, 0
+    open_ = intent = 0  # words that a deed still waits for its target; whether an intent came last
+    for k, own in enumerate(kinds):
+        weight = lexicon.get(words[k], 0.0)
+        if own == "insult":
+            score, hits = score + weight, hits + 1
+            if last("target", k) <= 4:
+                score, aimed = score + 0.5 * weight, aimed + 1
+        if own == "target" and last("insult", k) <= 3 and last("target", k) > last("insult", k):
+            score, aimed = score + 0.5 * lexicon[words[k - last("insult", k)]], aimed + 1
+        if own == "modal":
+            intent, open_ = 1, 0
+        elif own == "threat":
+            done = intent or open_
+            score += 1.5 * bool(done)
+            intent, open_ = 0, 3 if done else 1
+        elif own == "target" and open_:
+            score, threats, open_ = score + 1.5, threats + 1, 0
+        elif open_:
+            open_ -= 1
+        if own in ("insult", "threat"):
+            held = weight if own == "insult" else next((lexicon[words[j]] for j in range(k - 1, -1, -1) if kinds[j] == "insult"), 0.0)
+            if last("negation", k) <= 4:
+                score, soft = score - 0.6 * held, soft + 1
+            if "report" in kinds[:k]:
+                score, soft = score - 0.3 * held, soft + 1
+    return max(0.0, score), aimed, threats, soft, hits
+
+
+def test_clauses_against_plain_distances():
+    """Random clauses: the composed machine gives what the distances between words say."""
+    import random
+
+    r = random.Random(8)
+    lexicon = {"moron": 4.0, "trash": 2.5}
+    m = toxicity.Matcher(lexicon)
+    words = ["moron", "trash", "kill", "hurt", "will", "you", "them", "not", "said", "table", "green", "of"]
+    for _ in range(5000):
+        clause = r.choices(words, k=r.randrange(1, 14))
+        got, wanted = m._read(" ".join(clause)), plain_clause(clause, lexicon)
+        assert abs(got[0] - wanted[0]) < 1e-9 and got[1:] == wanted[1:], clause
