@@ -12,6 +12,7 @@ from gneiss.functions import values as V
 from gneiss.operators.merge import pending
 from gneiss.operators.profile import distribution
 from gneiss.operators.trials import FIELDS, isolated, trial
+from gneiss.sources.workspace import spread
 
 METHODS = ("gzip9", "zstd3", "zstd9", "zstd19", "lzma2")
 
@@ -43,7 +44,7 @@ def benchmark_documents(docs: DataFrame, key: str, content: str, methods=METHODS
     a limit has status timeout or resource_limit.
     """
     units = docs.select(F.concat(F.lit("doc:"), F.col(key).cast("string")).alias("unit_id"), F.col(content).cast("binary").alias("content"))
-    units = units.withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
+    units = spread(units, "unit_id").withColumn("method", F.explode(F.array(*[F.lit(m) for m in methods])))
     if done is not None:
         units = pending(units, done, ["unit_id", "method"])
 

@@ -15,6 +15,7 @@ import sys
 import time
 import zlib
 from concurrent.futures import ThreadPoolExecutor, wait
+from functools import lru_cache
 
 CHUNK = 1 << 20
 #: Seconds between two looks at a trial's process.
@@ -31,12 +32,14 @@ def _chunks(data: bytes):
         yield data[k : k + CHUNK]
 
 
+@lru_cache(maxsize=8)
 def _zstandard(method: str):
+    """A compressor, kept for the next trial, and a decompressor."""
     try:
         import zstandard
     except ImportError as e:
         raise NotAvailable(method) from e
-    return zstandard
+    return zstandard.ZstdCompressor(level=int(method[4:])), zstandard.ZstdDecompressor()
 
 
 def compress(data: bytes, method: str) -> bytes:
@@ -44,9 +47,11 @@ def compress(data: bytes, method: str) -> bytes:
     if method == "gzip9":
         packer = zlib.compressobj(9, zlib.DEFLATED, 31)
     elif method == "lzma2":
-        packer = lzma.LZMACompressor(lzma.FORMAT_XZ, preset=6)
+        # preset 6 with a dictionary no larger than its 8 MiB or the data: the tables of a larger one cost more than a small document
+        own = {"id": lzma.FILTER_LZMA2, "preset": 6, "dict_size": min(1 << 23, max(1 << 12, len(data)))}
+        packer = lzma.LZMACompressor(lzma.FORMAT_XZ, filters=[own])
     elif method.startswith("zstd"):
-        packer = _zstandard(method).ZstdCompressor(level=int(method[4:])).compressobj()
+        packer = _zstandard(method)[0].compressobj(size=len(data))
     else:
         raise NotAvailable(method)
     return b"".join([*(packer.compress(c) for c in _chunks(data)), packer.flush()])
@@ -59,7 +64,7 @@ def decompress(data: bytes, method: str) -> bytes:
     elif method == "lzma2":
         unpacker = lzma.LZMADecompressor(lzma.FORMAT_XZ)
     elif method.startswith("zstd"):
-        unpacker = _zstandard(method).ZstdDecompressor().decompressobj()
+        unpacker = _zstandard(method)[1].decompressobj()
     else:
         raise NotAvailable(method)
     return b"".join(unpacker.decompress(c) for c in _chunks(data))

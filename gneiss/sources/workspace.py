@@ -35,3 +35,12 @@ def ranged(df: DataFrame, *order: Column | str, amount: Column, part: str = "par
     held = parts.groupBy(part).agg(amount.alias("__held"))
     earlier = F.sum("__held").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1))  # a row for each partition
     return parts, held.withColumn(before, F.coalesce(earlier, F.lit(0))).drop("__held")
+
+
+def spread(df: DataFrame, *keys: Column | str) -> DataFrame:
+    """``df`` dealt by ``keys`` to all cores, for work on each row that costs far more than moving it.
+
+    A file of one row group is one task otherwise.  The partitions are as many as the session's shuffles or cores.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *keys)
