@@ -191,11 +191,12 @@ def content_tags(text: Column | str, coverage: Column | str, chars: Column | str
     return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in found]))
 
 
-def human_bytes(x: Column | str) -> Column:
-    """1.50 MiB and the like, from B to TiB."""
+def human_bytes(x: Column | str, largest: str = "TiB") -> Column:
+    """1.50 MiB and the like, from B to the largest unit (TiB at most)."""
     n = _c(x).cast("double")
     out = F.format_string("%.2f B", F.bround(n, 2))
-    for k, unit in enumerate(("KiB", "MiB", "GiB", "TiB"), 1):
+    units = ("KiB", "MiB", "GiB", "TiB")
+    for k, unit in enumerate(units[: units.index(largest) + 1], 1):
         out = F.when(F.abs(n) >= 1024.0**k, F.format_string(f"%.2f {unit}", F.bround(n / 1024.0**k, 2))).otherwise(out)
     return out
 

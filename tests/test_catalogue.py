@@ -58,3 +58,21 @@ def test_all_codecs(spark, data):
     n = spark.read.parquet(f"{data}/documents.parquet").count()
     got = {r.method: (r.status, r.exact, r.n) for r in QUERIES["codec_roundtrip"](spark, data).collect()}
     assert got == {m: ("ok", True, n) for m in codecs.METHODS}
+
+
+def against_sql(spark, folder, name, table, rows):
+    """The query and its SQL over one table of the given rows."""
+    rows.coalesce(1).write.parquet(f"{folder}/{table}.parquet")
+    df = QUERIES[name](spark, str(folder))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet/*.parquet'")
+    wanted = con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLES[name]})").fetchall()
+    return sorted(tuple(r) for r in df.collect()), sorted(wanted)
+
+
+def test_font_names_of_large_keys(spark, tmp_path):
+    """Sizes stay in KiB beyond 1024 KiB, as in the SQL."""
+    keys = [1021, 1023, 1025, 1048575, 1048576, 1048591, 1199999, 1 << 30, (1 << 40) + 1, (1 << 50) + 128]
+    rows = spark.createDataFrame([(k, "blue anvil") for k in keys], "p_partkey bigint, p_name string")
+    got, wanted = against_sql(spark, tmp_path, "font_names", "part", rows)
+    assert got == wanted and {len(r) for r in got} == {4}
