@@ -236,8 +236,10 @@ def reference_pages(t):
     """References of generated detail pages, with labels of their own or of the heading before."""
     link = F.concat(F.lit('<a href="/Details/'), (F.col("o_custkey") + 1000000).cast("string"), F.lit('/x">UU '), F.col("o_custkey").cast("string"), F.lit("</a>"))
     item = F.concat(F.lit("<ul><li>"), F.when(F.col("o_orderkey") % 2 == 0, "<b>Mengubah</b> ").otherwise(""), link, F.lit("</li></ul>"))
-    itself = F.concat(F.lit('<p><a href="/Details/'), F.col("o_orderkey").cast("string"), F.lit('/a">self</a></p>'))
-    pages = t("orders").select("o_orderkey", F.concat(F.lit(BASE + "/Details/"), F.col("o_orderkey").cast("string")).alias("url"), F.concat(F.lit("<h4>Status</h4>"), item, itself).alias("html"))
+    # a page's own number begins with 0, as no target's does: equal keys don't make a reference a link to the page itself
+    own = F.concat(F.lit("0"), F.col("o_orderkey").cast("string"))
+    itself = F.concat(F.lit('<p><a href="/Details/'), own, F.lit('/a">self</a></p>'))
+    pages = t("orders").select("o_orderkey", F.concat(F.lit(BASE + "/Details/"), own).alias("url"), F.concat(F.lit("<h4>Status</h4>"), item, itself).alias("html"))
     return regulations.details(pages).select("o_orderkey", F.explode("references").alias("r")).select("o_orderkey", "r.target_source_id", "r.context_label", "r.target_label")
 
 

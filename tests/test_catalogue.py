@@ -76,3 +76,10 @@ def test_font_names_of_large_keys(spark, tmp_path):
     rows = spark.createDataFrame([(k, "blue anvil") for k in keys], "p_partkey bigint, p_name string")
     got, wanted = against_sql(spark, tmp_path, "font_names", "part", rows)
     assert got == wanted and {len(r) for r in got} == {4}
+
+
+def test_reference_pages_of_equal_keys(spark, tmp_path):
+    """A page whose key is the number that it links keeps its reference."""
+    rows = spark.createDataFrame([(1108014, 108014), (1000007, 7), (1000000, 0), (5, 5), (0, 1), (1000008, 7)], "o_orderkey bigint, o_custkey bigint")
+    got, wanted = against_sql(spark, tmp_path, "reference_pages", "orders", rows)
+    assert got == wanted and len(got) == 6
